@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from corpweave.llm.langid import op7_language_id
+from corpweave.llm.mixing import op8_mixing
+from corpweave.llm.packing import op2_packing
 from corpweave.llm.simhash import op9_simhash
+from corpweave.llm.suffix import op10_suffix_array
 
-QUERIES = {f.__name__: f for f in (op7_language_id, op9_simhash)}
+QUERIES = {f.__name__: f for f in (op2_packing, op7_language_id, op8_mixing, op9_simhash, op10_suffix_array)}
 
 ORACLE_SQL: dict[str, str] = {}

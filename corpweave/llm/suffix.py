@@ -359,14 +359,14 @@ def _kept_rows(min_len: int, with_text: bool):
                 for into, value in zip(cols, (len(raw), len(raw) - len(rest), len(runs), hashlib.sha256(rest).hexdigest(), rest.decode("utf-8", "ignore") if with_text else None)):
                     into.append(value)
             made = [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()))]
-            yield pa.RecordBatch.from_arrays([batch["did"], *made], names=["did", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
+            yield pa.RecordBatch.from_arrays([batch["did"], batch["th"], *made], names=["did", "text_hash", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
     return emit
 
 
 def without_repeats(docs: DataFrame, min_len: int = MIN_LEN, k: int = GRAM, hot: int = HOT, with_text: bool = False) -> DataFrame:
-    """Per row of `docs`: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if
-    asked for, kept_text (a character cut in two goes whole).
+    """Per row of `docs`: doc_id, text_hash (xxhash64 of the text), n_bytes, n_removed,
+    n_spans, kept_sha256 and, if asked for, kept_text (a character cut in two goes whole).
 
     A null text is empty.  A null doc_id counts as greater than any; rows with one
     doc_id are not compared with each other, and each gives a row."""
@@ -386,7 +386,7 @@ def without_repeats(docs: DataFrame, min_len: int = MIN_LEN, k: int = GRAM, hot:
     spans = dealt.mapInArrow(_span_rows(min_len), "did long, th long, a long, b long")
     lists = spans.groupBy("did").agg(F.collect_list(F.struct("th", "a", "b")).alias("spans"))
     kept = own.join(lists, "did", "left").select("did", "th", "text", "first", "spans")
-    kept = kept.mapInArrow(_kept_rows(min_len, with_text), "did long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+    kept = kept.mapInArrow(_kept_rows(min_len, with_text), "did long, text_hash long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
     return kept.withColumn("did", F.nullif("did", F.lit(NO_ID))).withColumnRenamed("did", "doc_id")
 
 
