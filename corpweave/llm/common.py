@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpweave.shipping import shipped
+
 #: rows in an Arrow batch handed to Python; texts may be very long
 BATCH_ROWS = 1000
 
@@ -15,5 +17,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def batched(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
     """`df`, with Arrow batches of the session bounded so that a worker's memory
     follows the length of a few texts, not of ten thousand."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    shipped(df.sparkSession).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     return df

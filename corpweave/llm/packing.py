@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from corpweave.llm.common import batched
 from corpweave.llm.tokenize import encoder
+from corpweave.shipping import shipped
 from corpweave.storage import written
 
 CAPACITY = 1024
@@ -191,7 +192,7 @@ def search(spark: SparkSession, wanted: dict[int, int], capacity: int = CAPACITY
                     found = evolve(wanted, elites[i], seed * 1000 + turn * islands + i, capacity)
                     yield pd.DataFrame({"id": [i], "found": [pickle.dumps(found)]})
 
-        rows = spark.range(0, islands, 1, islands).mapInPandas(island, "id long, found binary").collect()
+        rows = shipped(spark).range(0, islands, 1, islands).mapInPandas(island, "id long, found binary").collect()
         found = [pickle.loads(r["found"]) for r in sorted(rows, key=lambda r: r["id"])]
         best = min([*found, *([best] if best else [])], key=lambda s: fitness(s, capacity))
         if sum(best.values()) <= least_bins(wanted, capacity):

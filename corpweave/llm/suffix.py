@@ -9,14 +9,16 @@ of all suffixes, so the texts are dealt by content first:
    k-grams in it (its anchor), so equal windows have equal anchors.  Anchors are
    dealt by hash; one that a single document holds settles all its windows.
 3. Around each other anchor the text that its windows cover (its context) is dealt
-   by the hash.  Equal contexts of a batch are sent once, for their first document;
-   an anchor met more than `HOT` times is split into its windows, each dealt by
-   its own content.
+   by the hash.  Equal contexts of a batch are sent once, for their first document.
+   Anchors found in more than a hundredth of a sample of documents are known to be
+   shared: they skip step 2, and their contexts are split into the single windows,
+   each dealt by its own content.  So no hash gathers more than about that share.
 4. In each partition, contexts are joined to texts of bounded size whose suffixes
    are sorted in two stages: those smaller than their successor directly, the rest
    induced from them by scans over the buckets.  Common prefixes of neighbours
    give the runs of equal windows, and a run its least doc_id.
 
+What goes to a partition is packed by batch: rows hold arrays, not single anchors.
 Whole texts are read, never prefixes; a hash collision only adds a comparison.
 """
 
@@ -33,9 +35,10 @@ from pyspark.sql import functions as F
 from corpweave.llm.common import batched
 
 MIN_LEN = 50
-GRAM = 20
-#: occurrences of an anchor beyond which its windows are dealt one by one
-HOT = 20_000
+GRAM = 16
+#: documents looked at for frequent anchors, about, and the share that makes one
+SAMPLE = 4000
+FREQUENT = 0.01
 #: bytes that are hashed, or sorted, at once
 BLOCK = 1 << 19
 #: stands for a null doc_id: greater than any
@@ -124,69 +127,177 @@ def _block(held: list[bytes], where: list[tuple[int, int]], min_len: int):
     return data, valid, np.concatenate([[0], ends[:-1]]), np.array(where)
 
 
-def _anchor_rows(min_len: int, k: int):
+def _six(h: np.ndarray) -> np.ndarray:
+    """The 48-bit numbers as rows of six bytes."""
+    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+
+
+def _from_six(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), dtype=np.uint8)
+    out[:, :6] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel().astype(np.int64)
+
+
+def _bytes_column(rows: np.ndarray, opens: np.ndarray) -> pa.Array:
+    """Binary values out of rows of bytes; value i begins at row opens[i]."""
+    ends = np.append(opens, len(rows)).astype(np.int32) * rows.shape[1]
+    return pa.BinaryArray.from_buffers(pa.binary(), len(opens), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _text_bytes(batch: pa.RecordBatch) -> list[bytes]:
+    return [t.encode("utf-8", "surrogatepass") for t in batch["text"].to_pylist()]
+
+
+def _anchors_of(texts: list[bytes], min_len: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, hash) of all anchors, each once per text, in order."""
+    found = [np.zeros(0, dtype=np.int64)]
+    for data, valid, opens, where in _blocks(texts, min_len):
+        place, _, _ = anchors(data, valid, min_len, k)
+        owner = where[np.searchsorted(opens, place, side="right") - 1, 0]
+        found.append(owner << 48 | (gram_hashes(data, k)[place] >> _U(16)).astype(np.int64))
+    both = np.unique(np.concatenate(found))
+    return both >> 48, both & ((1 << 48) - 1)
+
+
+def _sample_rows(min_len: int, k: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.encode("utf-8", "surrogatepass") for t in batch["text"].to_pylist()]
-            ids = batch["did"].to_numpy(zero_copy_only=False)
-            for data, valid, opens, where in _blocks(texts, min_len):
-                place, _, _ = anchors(data, valid, min_len, k)
-                part = np.searchsorted(opens, place, side="right") - 1
-                h = gram_hashes(data, k)[place] >> _U(16)
-                at = place - opens[part] + where[part, 1]
-                yield pa.RecordBatch.from_arrays([pa.array(h.astype(np.int64)), pa.array(ids[where[part, 0]]), pa.array(at)], names=["h", "did", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(_anchors_of(_text_bytes(batch), min_len, k)[1])], names=["h"])
+
+    return emit
+
+
+def _anchor_rows(min_len: int, k: int, parts: int, frequent):
+    """Per batch and partition a row with the anchors that go there, by document."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, h = _anchors_of(_text_bytes(batch), min_len, k)
+            often = np.isin(h, frequent.value)
+            part = np.where(often, batch["did"].to_numpy()[owner] % parts, h % parts)
+            sent = ~often  # of frequent anchors, one tells that a document has any
+            sent[np.flatnonzero(often)[np.unique(owner[often], return_index=True)[1]]] = True
+            owner, h, part = owner[sent], h[sent], part[sent]
+            order = np.lexsort((owner, part))
+            owner, h, part = owner[order], h[order], part[order]
+            if not len(h):
+                continue
+            row = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            doc = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (owner[1:] != owner[:-1])]))
+            ids = batch["did"].to_numpy()[owner[doc]]
+            n = np.diff(np.append(doc, len(h))).astype("<u4")
+            row_of_doc = np.searchsorted(doc, row)
+            cols = [_bytes_column(_six(h), row), _bytes_column(ids.view(np.uint8).reshape(-1, 8), row_of_doc), _bytes_column(n.view(np.uint8).reshape(-1, 4), row_of_doc)]
+            yield pa.RecordBatch.from_arrays([pa.array(part[row].astype(np.int32)), *cols], names=["part", "hs", "dids", "ns"])
 
     return emit
 
 
-def _context_rows(min_len: int, k: int):
+def _shared_rows(frequent):
+    """All anchors of a partition -> per document those that another one has too."""
+    return lambda batches: _shared(batches, frequent.value)
+
+
+def _shared(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+    hs, dids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for batch in batches:
+        for h, d, n in zip(*(batch[c].to_pylist() for c in ("hs", "dids", "ns"))):
+            hs.append(_from_six(h))
+            dids.append(np.repeat(np.frombuffer(d, "<i8"), np.frombuffer(n, "<u4")))
+    h, did = np.concatenate(hs), np.concatenate(dids)
+    order = np.argsort(h, kind="stable")
+    h, did = h[order], did[order]
+    if not len(h):
+        return
+    opens = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    apart = (np.minimum.reduceat(did, opens) != np.maximum.reduceat(did, opens)) | np.isin(h[opens], frequent)
+    shared = np.repeat(apart, np.diff(np.append(opens, len(h))))
+    h, did = h[shared], did[shared]
+    order = np.argsort(did, kind="stable")
+    h, did = h[order], did[order]
+    doc = np.flatnonzero(np.concatenate([[True], did[1:] != did[:-1]])) if len(did) else np.zeros(0, np.int64)
+    for lo in range(0, len(doc), 10_000):
+        cut = doc[lo : lo + 10_000]
+        end = doc[lo + 10_000] if lo + 10_000 < len(doc) else len(h)
+        yield pa.RecordBatch.from_arrays([pa.array(did[cut]), _bytes_column(_six(h[cut[0] : end]), cut - cut[0])], names=["did", "hs"])
+
+
+class _Packed:
+    """Contexts, or settled spans where the context is empty, on their way to a partition."""
+
+    FIELDS = (("h", "<i8"), ("did", "<i8"), ("th", "<i8"), ("at", "<i8"), ("len", "<i4"))
+
+    def __init__(self) -> None:
+        self.rows: dict[int, tuple[list, ...]] = {}
+
+    def add(self, part: int, *values) -> None:
+        for into, value in zip(self.rows.setdefault(part, ([], [], [], [], [], [])), values):
+            into.append(value)
+
+    def batch(self) -> pa.RecordBatch:
+        cols: list[list] = [[] for _ in range(7)]
+        for part, rows in self.rows.items():
+            cols[0].append(part)
+            for into, values, (_, kind) in zip(cols[1:], rows, self.FIELDS):
+                into.append(np.array(values, dtype=kind).tobytes())
+            cols[6].append(b"".join(rows[5]))
+        names = ["part", *(f for f, _ in self.FIELDS), "contexts"]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if not i else pa.binary()) for i, c in enumerate(cols)], names=names)
+
+
+PACKED = "part int, h binary, did binary, th binary, at binary, len binary, contexts binary"
+
+
+def _context_rows(min_len: int, k: int, parts: int, frequent):
     """For documents with the list `marks` of their shared anchors: contexts to be
     compared, and spans that a smaller document of the batch settles already."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.encode("utf-8", "surrogatepass") for t in batch["text"].to_pylist()]
-            ids, versions = batch["did"].to_pylist(), batch["th"].to_pylist()
-            marks = batch["marks"].flatten()
-            named = np.repeat(np.arange(len(texts)), batch["marks"].value_lengths().to_numpy()) << 40 | marks.field("at").to_numpy()
-            hot = named[marks.field("hot").to_numpy(zero_copy_only=False)]
+            texts, ids, versions = _text_bytes(batch), batch["did"].to_pylist(), batch["th"].to_pylist()
+            named = [np.zeros(0, np.int64)] + [i << 48 | _from_six(b"".join(m)) for i, m in enumerate(batch["marks"].to_pylist()) if m]
+            named = np.unique(np.concatenate(named))
             first: dict[bytes, tuple] = {}
-            rows = ([], [], [], [], [], [])
+            out = _Packed()
 
-            def add(key, did, th, at, context, length, rows=rows):
-                for into, value in zip(rows, (key, did, th, at, context, length)):
-                    into.append(value)
+            def settled(did, th, at, length, out=out):
+                out.add(hash((did, at)) % parts, -1, did, th, at, length, b"")
 
             for data, valid, opens, where in _blocks(texts, min_len):
                 place, lo, hi = anchors(data, valid, min_len, k)
                 part = np.searchsorted(opens, place, side="right") - 1
-                name = where[part, 0] << 40 | (place - opens[part] + where[part, 1])
-                held = np.isin(name, named)
-                place, lo, hi, part, name = (x[held] for x in (place, lo, hi, part, name))
-                h = (gram_hashes(data, k)[place] >> _U(16)).astype(np.int64).tolist()
+                h = (gram_hashes(data, k)[place] >> _U(16)).astype(np.int64)
+                often = np.isin(h, frequent.value)
+                held = np.flatnonzero(often | np.isin(where[part, 0] << 48 | h, named))
+                part = part[held]
                 raw, owner, shift = data.tobytes(), where[part, 0].tolist(), (where[part, 1] - opens[part]).tolist()
-                for key, a, b, o, s, alone in zip(h, lo.tolist(), hi.tolist(), owner, shift, np.isin(name, hot).tolist()):
+                for key, a, b, o, s, alone in zip(h[held].tolist(), lo[held].tolist(), hi[held].tolist(), owner, shift, often[held].tolist()):
                     for i, j in [(i, i) for i in range(a, b + 1)] if alone else [(a, b)]:
                         context = raw[i : j + min_len]
-                        dealt = -int.from_bytes(hashlib.blake2b(context, digest_size=6).digest(), "little") if alone else key
                         mine = (ids[o], versions[o], i + s)
                         seen = first.get(context)
                         if seen is None:
-                            first[context] = (dealt, *mine)
-                        elif mine[0] < seen[1]:
-                            add(None, *seen[1:], None, len(context))
-                            first[context] = (dealt, *mine)
-                        elif mine[0] > seen[1]:
-                            add(None, *mine, None, len(context))
+                            first[context] = (key, alone, *mine)
+                        elif mine[0] < seen[2]:
+                            settled(*seen[2:], len(context))
+                            first[context] = (key, alone, *mine)
+                        elif mine[0] > seen[2]:
+                            settled(*mine, len(context))
                         else:  # once more in the document
-                            add(dealt, *mine, context, len(context))
-            for context, (key, did, th, at) in first.items():
-                add(key, did, th, at, context, len(context))
-            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int64()), pa.array(rows[3], pa.int64()), pa.array(rows[4], pa.binary()), pa.array(rows[5], pa.int64())], names=["h", "did", "th", "at", "context", "len"])
+                            dealt = _content_hash(context) if alone else key
+                            out.add(dealt % parts, dealt, *mine, len(context), context)
+            for context, (key, alone, *mine) in first.items():
+                dealt = _content_hash(context) if alone else key
+                out.add(dealt % parts, dealt, *mine, len(context), context)
+            yield out.batch()
 
     return emit
 
 
+def _content_hash(data: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=6).digest(), "little")
+
+
 def _words(text: np.ndarray) -> np.ndarray:
     """The eight bytes from each place as one number that orders like them."""
     padded = np.concatenate([text, np.zeros(64, dtype=np.uint8)]).astype(np.uint64)
@@ -300,41 +411,44 @@ def repeated_windows(contexts: list[bytes], owners: np.ndarray, min_len: int) ->
 
 
 def _span_rows(min_len: int):
-    """Spans to remove, from contexts in the order of their hash."""
+    """Spans to remove, from all contexts of a partition."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(did, th, at, end):
-            return pa.RecordBatch.from_arrays([pa.array(np.asarray(x, dtype=np.int64)) for x in (did, th, at, end)], names=["did", "th", "a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (did, th, at, end)], names=["did", "th", "a", "b"])
 
-        def solved(rows: pa.Table) -> pa.RecordBatch:
-            cols = [rows[c].to_numpy() for c in ("did", "th", "at")]
-            part, a, b = repeated_windows(rows["context"].to_pylist(), cols[0], min_len)
-            return out(cols[0][part], cols[1][part], cols[2][part] + a, cols[2][part] + b)
-
-        held: list[pa.RecordBatch] = []
-        size, last = 0, None
+        held: dict[str, list] = {f: [] for f, _ in _Packed.FIELDS}
+        contexts: list[bytes] = []
         for batch in batches:
-            settled = batch.filter(pa.compute.is_null(batch["h"]))
-            if len(settled):
-                did, th, at, n = (settled[c].to_numpy() for c in ("did", "th", "at", "len"))
-                yield out(did, th, at, at + n)
-            batch = batch.filter(pa.compute.is_valid(batch["h"]))
-            if not len(batch):
-                continue
-            h = batch["h"].to_numpy()
-            ends = np.cumsum(batch["len"].to_numpy())
-            opens = np.flatnonzero(np.concatenate([[last is None or h[0] != last], h[1:] != h[:-1]]))
-            begun = 0
-            for at in opens.tolist():  # a new hash: what is held is complete
-                if size + (ends[at - 1] if at else 0) - (ends[begun - 1] if begun else 0) >= BLOCK:
-                    held.append(batch.slice(begun, at - begun))
-                    yield solved(pa.Table.from_batches(held))
-                    held, size, begun = [], 0, at
-            held.append(batch.slice(begun))
-            size += int(ends[-1] - (ends[begun - 1] if begun else 0))
-            last = h[-1]
-        if size:
-            yield solved(pa.Table.from_batches(held))
+            for name, kind in _Packed.FIELDS:
+                held[name] += [np.frombuffer(x, kind) for x in batch[name].to_pylist()]
+            contexts += batch["contexts"].to_pylist()
+        if not contexts:
+            return
+        h, did, th, at, n = (np.concatenate(held[f]) for f, _ in _Packed.FIELDS)
+        n = n.astype(np.int64)
+        done = h < 0
+        for lo in range(0, int(done.sum()), 50_000):
+            own = np.flatnonzero(done)[lo : lo + 50_000]
+            yield out(did[own], th[own], at[own], at[own] + n[own])
+        text = b"".join(contexts)
+        del contexts, held
+        ends = np.cumsum(np.where(done, 0, n))
+        order = np.argsort(h, kind="stable")
+        order = order[np.searchsorted(h[order], 0) :]
+        h, sizes = h[order], np.cumsum(n[order])
+        opens = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+        begun = 0
+        while begun < len(order):  # whole hashes, of about a block of text
+            base = sizes[begun - 1] if begun else 0
+            upto = np.searchsorted(sizes, base + BLOCK)
+            later = opens[np.searchsorted(opens, max(upto, begun + 1)) :]
+            stop = int(later[0]) if len(later) else len(order)
+            own = order[begun:stop]
+            part, a, b = repeated_windows([text[e - m : e] for e, m in zip(ends[own].tolist(), n[own].tolist())], did[own], min_len)
+            own = own[part]
+            yield out(did[own], th[own], at[own] + a, at[own] + b)
+            begun = stop
 
     return emit
 
@@ -364,26 +478,37 @@ def _kept_rows(min_len: int, with_text: bool):
     return emit
 
 
-def without_repeats(docs: DataFrame, min_len: int = MIN_LEN, k: int = GRAM, hot: int = HOT, with_text: bool = False) -> DataFrame:
+def frequent_anchors(texts: DataFrame, min_len: int, k: int, sample: int = SAMPLE, share: float = FREQUENT) -> np.ndarray:
+    """Hashes of the anchors that more than `share` of a sample of about `sample` rows
+    hold; there are at most as many as the sample's documents have anchors / share."""
+    n = texts.count()
+    chosen = texts.filter(F.pmod(F.xxhash64("did", F.lit("sample")), F.lit(max(1, n // sample))) == 0).select("did", "text")
+    least = max(20, int(share * min(n, sample)))
+    found = chosen.mapInArrow(_sample_rows(min_len, k), "h long").groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+    return np.sort(np.array([r["h"] for r in found.select("h").collect()], dtype=np.int64))
+
+
+def without_repeats(docs: DataFrame, min_len: int = MIN_LEN, k: int = GRAM, share: float = FREQUENT, with_text: bool = False) -> DataFrame:
     """Per row of `docs`: doc_id, text_hash (xxhash64 of the text), n_bytes, n_removed,
     n_spans, kept_sha256 and, if asked for, kept_text (a character cut in two goes whole).
 
     A null text is empty.  A null doc_id counts as greater than any; rows with one
     doc_id are not compared with each other, and each gives a row."""
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.withColumn("th", F.xxhash64("text"))
+    texts = batched(texts, 256).withColumn("th", F.xxhash64("text"))
+    frequent = spark.sparkContext.broadcast(frequent_anchors(texts, min_len, k, share=share))
     firsts = texts.groupBy(F.sha2("text", 256).alias("sha")).agg(F.min("did").alias("did"), F.first("th").alias("th"))
     firsts = firsts.groupBy("did").agg(F.collect_set("th").alias("firsts"))
     # every join is on did alone: the texts are dealt once, and that exchange is used again
-    own = batched(texts, 256).join(firsts, "did", "left").withColumn("first", F.coalesce(F.array_contains("firsts", F.col("th")), F.lit(False)))
-    found = own.filter("first").select("did", "text").mapInArrow(_anchor_rows(min_len, k), "h long, did long, at long")
-    same = "over (partition by h)"
-    shared = found.selectExpr("*", f"min(did) {same} as lo", f"max(did) {same} as hi", f"count(1) {same} as n").filter("lo <> hi")
-    marks = shared.groupBy("did").agg(F.collect_list(F.struct("at", (F.col("n") > hot).alias("hot"))).alias("marks"))
+    own = texts.join(firsts, "did", "left").withColumn("first", F.coalesce(F.array_contains("firsts", F.col("th")), F.lit(False)))
+    found = own.filter("first").select("did", "text").mapInArrow(_anchor_rows(min_len, k, parts, frequent), "part int, hs binary, dids binary, ns binary")
+    shared = found.repartitionById(parts, F.col("part")).drop("part").mapInArrow(_shared_rows(frequent), "did long, hs binary")
+    marks = shared.groupBy("did").agg(F.collect_list("hs").alias("marks"))
     marked = own.join(marks, "did", "left").filter("first and marks is not null").select("did", "th", "text", "marks")
-    contexts = marked.mapInArrow(_context_rows(min_len, k), "h long, did long, th long, at long, context binary, len long")
-    dealt = contexts.repartition(F.coalesce("h", F.xxhash64("did", "at"))).sortWithinPartitions("h")
-    spans = dealt.mapInArrow(_span_rows(min_len), "did long, th long, a long, b long")
+    contexts = marked.mapInArrow(_context_rows(min_len, k, parts, frequent), PACKED)
+    spans = contexts.repartitionById(parts, F.col("part")).drop("part").mapInArrow(_span_rows(min_len), "did long, th long, a long, b long")
     lists = spans.groupBy("did").agg(F.collect_list(F.struct("th", "a", "b")).alias("spans"))
     kept = own.join(lists, "did", "left").select("did", "th", "text", "first", "spans")
     kept = kept.mapInArrow(_kept_rows(min_len, with_text), "did long, text_hash long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
