@@ -10,13 +10,14 @@ the library's own path, so the ids are always those of the library.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 from array import array
 from collections import ChainMap
 
 #: entries after which a worker forgets its memo (about 100 bytes each)
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 1_500_000
 #: pre-tokens longer than this many characters are encoded but not kept
 MEMO_KEY_CHARS = 48
 #: pre-tokens joined into one library call
@@ -25,9 +26,8 @@ JOIN = 256
 _GPT_CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 #: white space other than a single space or line end between two visible characters
 _UNEVEN = ("  ", " \n", "\n ", "\n\n", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000", *map(chr, range(0x2000, 0x200B)))
-_PLAIN_WORD = re.compile(r" [^\W\d_]+\Z")
+_SIGNS = ".,;:!?"
 _ODD_SEPARATOR = tuple("\x1c\x1d\x1e\x1f")
-_LETTERS = re.compile(r"[a-zß-öø-ÿ]+\Z")
 #: letters and signs that NFC leaves alone and lower-casing maps one to one
 _SIMPLE = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ.,;:!?()\"-]+\Z")
 _WORD_CUT = re.compile(r"[a-zß-öø-ÿ]+|[^a-zß-öø-ÿ]+")
@@ -67,42 +67,43 @@ class MemoEncoder:
         texts = [t or "" for t in texts]
         if self._one is None:
             return [_ids(e.ids) + self.end for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        return self._one(texts)
+        collects = gc.isenabled()
+        gc.disable()  # only strings and bytes are made here: nothing to look for
+        try:
+            return self._one(texts)
+        finally:
+            if collects:
+                gc.enable()
 
     def _whole(self, text: str) -> bytes:
         return _ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _learn(self, missing: list[str], joined) -> None:
-        """Ids of pre-tokens not met so far; those for which `joined(key)` gives a
-        string are sent many at once, and cut again by the library's word numbers."""
-        alone, many = [], []
-        for key in missing:
-            piece = joined(key) if len(key) <= MEMO_KEY_CHARS else None
-            (alone if piece is None else many).append((key, piece))
-        groups = [many[i : i + JOIN] for i in range(0, len(many), JOIN)]
-        for group, enc in zip(groups, self.tokenizer.encode_batch(["".join(p for _, p in g) for g in groups], add_special_tokens=False)):
-            ids, words = enc.ids, enc.word_ids
-            if not words or words[-1] != len(group) - 1:
-                alone += group
-                continue
-            starts = [i for i, w in enumerate(words) if not i or w != words[i - 1]] + [len(ids)]
-            if len(starts) != len(group) + 1:
-                alone += group
-                continue
-            packed = _ids(ids)
-            for (key, _), a, b in zip(group, starts, starts[1:]):
-                self.tokens[key] = packed[4 * a : 4 * b]
-        if alone:
-            keys = [k for k, _ in alone]
-            for key, enc in zip(keys, self.tokenizer.encode_batch_fast(keys, add_special_tokens=False)):
-                self.tokens[key] = _ids(enc.ids)
-
-    def _fill(self, wanted: dict[str, list[str]], into: dict[str, bytes], joined) -> dict[str, bytes]:
-        """Learns chunks given as their pre-tokens; returns `into`, or a view of it
-        and of the chunks too long to keep."""
-        missing = set().union(*wanted.values()) - self.tokens.keys() if wanted else ()
-        if missing:
-            self._learn(list(missing), joined)
+    def _learn(self, words: list[str], pieces: list[str], stride: int = 1) -> list[bytes]:
+        """Ids of words, of which many are sent at once as the given pieces; the
+        library's word numbers, of which each word has `stride`, tell where to cut."""
+        out: list[bytes] = []
+        groups = [pieces[i : i + JOIN] for i in range(0, len(pieces), JOIN)]
+        for n, enc in enumerate(self.tokenizer.encode_batch(["".join(g) for g in groups], add_special_tokens=False)):
+            ids, numbers, size = enc.ids, enc.word_ids, len(groups[n])
+            starts = [i for i, w in enumerate(numbers) if not i or w != numbers[i - 1]] + [len(ids)]
+            if numbers and numbers[-1] == len(starts) - 2 == size * stride - 1:
+                packed = _ids(ids)
+                starts = [4 * s for s in starts]
+                out += [packed[starts[k] : starts[k + 1]] for k in range(0, size * stride, stride)]
+            else:  # not cut as expected
+                out += [_ids(e.ids) for e in self.tokenizer.encode_batch_fast(words[n * JOIN : n * JOIN + size], add_special_tokens=False)]
+        return out
+
+    def _fill(self, new: list[str], into: dict[str, bytes], before: str, cut, piece, stride: int = 1) -> dict[str, bytes]:
+        """Learns chunks, which stand after the text `before`; returns `into`, or a view
+        of it and of the chunks too long to keep.  Chunks that are one word are sent
+        many at once as `piece` of them, others by their pre-tokens."""
+        plain = [c for c in new if c.isalpha() and len(c) <= MEMO_KEY_CHARS and piece(c) is not None]
+        into.update(zip(plain, self._learn([before + c for c in plain], [piece(c) for c in plain], stride)))
+        wanted = {c: cut(before + c) for c in new if c not in into}
+        missing = list(set().union(*wanted.values()) - self.tokens.keys())
+        for key, enc in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
+            self.tokens[key] = _ids(enc.ids)
         get, brief = self.tokens.__getitem__, {}
         for chunk, toks in wanted.items():
             (into if len(chunk) <= MEMO_KEY_CHARS else brief)[chunk] = b"".join(map(get, toks))
@@ -125,10 +126,12 @@ class MemoEncoder:
                 first.add(head)
                 rest.update(parts)
             docs.append(lines)
-        joined = lambda k: k if _PLAIN_WORD.match(k) else None
-        chunks = self._fill({c: cut(" " + c) for c in rest - self.chunks.keys()}, self.chunks, joined)
-        heads = self._fill({c: cut(c) for c in first - self.heads.keys()}, self.heads, joined)
-        tokens = self._fill({c: [c] for c in uneven}, {}, joined)
+        # a chunk with a sign at its end is a known word and the sign: words first
+        stems = {c.rstrip(_SIGNS) for c in rest - self.chunks.keys()} - self.chunks.keys()
+        self._fill([c for c in stems if c.isalpha()], self.chunks, " ", cut, lambda c: " " + c)
+        chunks = self._fill(list(rest - self.chunks.keys()), self.chunks, " ", self._cut_after_space, lambda c: " " + c)
+        heads = self._fill(list(first - self.heads.keys()), self.heads, "", cut, lambda c: c + "\n", 2)
+        tokens = self._fill(list(uneven), {}, "", lambda c: [c], lambda c: None)
         get, out = chunks.__getitem__, []
         newline = self._newline()
         for doc in docs:
@@ -138,6 +141,14 @@ class MemoEncoder:
                 out.append(newline.join([heads[head] + b"".join(map(get, parts)) for head, parts in doc]) + self.end)
         return out
 
+    def _cut_after_space(self, text: str) -> list[str]:
+        """Pre-tokens of a space and a chunk; a word in front is taken from the memo."""
+        toks = _GPT_CUT.findall(text)
+        known = self.chunks.get(toks[0][1:])
+        if known is not None and toks[0] not in self.tokens:
+            self.tokens[toks[0]] = known
+        return toks
+
     def _newline(self) -> bytes:
         if "\n" not in self.tokens:
             self.tokens["\n"] = self._whole("\n")
@@ -147,11 +158,9 @@ class MemoEncoder:
     def _worded(self, texts: list[str]) -> list[bytes]:
         docs = [None if any(map(t.__contains__, _ODD_SEPARATOR)) else t.split() for t in texts]
         seen = set().union(*(d for d in docs if d))
-        wanted = {}
-        for chunk in seen - self.chunks.keys():
-            low = chunk.lower()
-            wanted[chunk] = _WORD_CUT.findall(low) if _SIMPLE.match(low) and _SIMPLE.match(chunk) else [chunk]
-        chunks = self._fill(wanted, self.chunks, lambda k: k + " " if _LETTERS.match(k) else None)
+        cut = lambda c: _WORD_CUT.findall(c.lower()) if _SIMPLE.match(c) and _SIMPLE.match(c.lower()) else [c]
+        piece = lambda c: c + " " if _SIMPLE.match(c) else None
+        chunks = self._fill(list(seen - self.chunks.keys()), self.chunks, "", cut, piece)
         get = chunks.__getitem__
         return [(self._whole(t) if d is None else b"".join(map(get, d))) + self.end for t, d in zip(texts, docs)]
 
