@@ -39,6 +39,8 @@ GRAM = 16
 #: documents looked at for frequent anchors, about, and the share that makes one
 SAMPLE = 4000
 FREQUENT = 0.01
+#: partitions that anchors and contexts are dealt to, at least
+LEAST_PARTS = 64
 #: bytes that are hashed, or sorted, at once
 BLOCK = 1 << 19
 #: stands for a null doc_id: greater than any
@@ -222,6 +224,19 @@ def _shared(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator
         yield pa.RecordBatch.from_arrays([pa.array(did[cut]), _bytes_column(_six(h[cut[0] : end]), cut - cut[0])], names=["did", "hs"])
 
 
+def _merged(did: np.ndarray, th: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Spans of each text, with those that touch joined."""
+    if not len(did):
+        return did, th, a, b
+    order = np.lexsort((a, th, did))
+    did, th, a, b = did[order], th[order], a[order], b[order]
+    text = np.concatenate([[0], np.cumsum((did[1:] != did[:-1]) | (th[1:] != th[:-1]))]) << 40
+    reach = np.maximum.accumulate(b + text)
+    opens = np.flatnonzero(np.concatenate([[True], (a + text)[1:] > reach[:-1]]))
+    last = np.append(opens[1:], len(a)) - 1
+    return did[opens], th[opens], a[opens], (reach - text)[last]
+
+
 class _Packed:
     """Contexts, or settled spans where the context is empty, on their way to a partition."""
 
@@ -259,9 +274,10 @@ def _context_rows(min_len: int, k: int, parts: int, frequent):
             named = np.unique(np.concatenate(named))
             first: dict[bytes, tuple] = {}
             out = _Packed()
+            done: list[tuple[int, int, int, int]] = []
 
-            def settled(did, th, at, length, out=out):
-                out.add(hash((did, at)) % parts, -1, did, th, at, length, b"")
+            def settled(did, th, at, length, done=done):
+                done.append((did, th, at, at + length))
 
             for data, valid, opens, where in _blocks(texts, min_len):
                 place, lo, hi = anchors(data, valid, min_len, k)
@@ -289,6 +305,9 @@ def _context_rows(min_len: int, k: int, parts: int, frequent):
             for context, (key, alone, *mine) in first.items():
                 dealt = _content_hash(context) if alone else key
                 out.add(dealt % parts, dealt, *mine, len(context), context)
+            if done:
+                for did, th, a, b in zip(*(x.tolist() for x in _merged(*np.array(done, dtype=np.int64).T))):
+                    out.add(did % parts, -1, did, th, a, b - a, b"")
             yield out.batch()
 
     return emit
@@ -414,41 +433,54 @@ def _span_rows(min_len: int):
     """Spans to remove, from all contexts of a partition."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(did, th, at, end):
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (did, th, at, end)], names=["did", "th", "a", "b"])
-
-        held: dict[str, list] = {f: [] for f, _ in _Packed.FIELDS}
+        held: dict[str, list] = {f: [np.zeros(0, kind)] for f, kind in _Packed.FIELDS}
         contexts: list[bytes] = []
         for batch in batches:
             for name, kind in _Packed.FIELDS:
                 held[name] += [np.frombuffer(x, kind) for x in batch[name].to_pylist()]
             contexts += batch["contexts"].to_pylist()
-        if not contexts:
-            return
-        h, did, th, at, n = (np.concatenate(held[f]) for f, _ in _Packed.FIELDS)
-        n = n.astype(np.int64)
-        done = h < 0
-        for lo in range(0, int(done.sum()), 50_000):
-            own = np.flatnonzero(done)[lo : lo + 50_000]
-            yield out(did[own], th[own], at[own], at[own] + n[own])
+        h, did, th, at, n = (np.concatenate(held[f]).astype(np.int64) for f, _ in _Packed.FIELDS)
         text = b"".join(contexts)
         del contexts, held
-        ends = np.cumsum(np.where(done, 0, n))
+        ends = np.cumsum(np.where(h < 0, 0, n)).tolist()
+        # of equal contexts the one of the first document stays, the others go whole
+        gone = h < 0
+        first: dict[bytes, int] = {}
+        ids, sizes = did.tolist(), n.tolist()
+        for i in np.flatnonzero(~gone).tolist():
+            context = text[ends[i] - sizes[i] : ends[i]]
+            seen = first.setdefault(context, i)
+            if ids[i] > ids[seen]:
+                gone[i] = True
+            elif ids[i] < ids[seen]:
+                gone[seen] = True
+                first[context] = i
+        spans = [[x[gone] for x in (did, th, at, at + n)]]
+        del first
         order = np.argsort(h, kind="stable")
-        order = order[np.searchsorted(h[order], 0) :]
-        h, sizes = h[order], np.cumsum(n[order])
-        opens = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+        order = order[~gone[order]]
+        group, upto = h[order], np.cumsum(n[order])
+        opens = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, np.int64)
+        alone = np.diff(np.append(opens, len(group))) == 1  # nothing to compare with
+        if alone.any():
+            single = np.zeros(len(group), dtype=bool)
+            single[opens[alone]] = True
+            order = order[~single]
+            group, upto = h[order], np.cumsum(n[order])
+            opens = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else opens[:0]
         begun = 0
         while begun < len(order):  # whole hashes, of about a block of text
-            base = sizes[begun - 1] if begun else 0
-            upto = np.searchsorted(sizes, base + BLOCK)
-            later = opens[np.searchsorted(opens, max(upto, begun + 1)) :]
+            base = upto[begun - 1] if begun else 0
+            later = opens[np.searchsorted(opens, max(np.searchsorted(upto, base + BLOCK), begun + 1)) :]
             stop = int(later[0]) if len(later) else len(order)
             own = order[begun:stop]
-            part, a, b = repeated_windows([text[e - m : e] for e, m in zip(ends[own].tolist(), n[own].tolist())], did[own], min_len)
+            part, a, b = repeated_windows([text[ends[i] - sizes[i] : ends[i]] for i in own.tolist()], did[own], min_len)
             own = own[part]
-            yield out(did[own], th[own], at[own] + a, at[own] + b)
+            spans.append([did[own], th[own], at[own] + a, at[own] + b])
             begun = stop
+        done = _merged(*(np.concatenate([s[k] for s in spans]) for k in range(4)))
+        for lo in range(0, len(done[0]), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[lo : lo + 50_000]) for x in done], names=["did", "th", "a", "b"])
 
     return emit
 
@@ -495,7 +527,7 @@ def without_repeats(docs: DataFrame, min_len: int = MIN_LEN, k: int = GRAM, shar
     A null text is empty.  A null doc_id counts as greater than any; rows with one
     doc_id are not compared with each other, and each gives a row."""
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(LEAST_PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), F.coalesce("text", F.lit("")).alias("text"))
     texts = batched(texts, 256).withColumn("th", F.xxhash64("text"))
     frequent = spark.sparkContext.broadcast(frequent_anchors(texts, min_len, k, share=share))
