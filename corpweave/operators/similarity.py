@@ -26,9 +26,11 @@ def ratio(a: str | None, b: str | None) -> float:
     return SequenceMatcher(None, a or "", b or "").ratio()
 
 
-@F.pandas_udf("double")
-def ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([ratio(x, y) for x, y in zip(a, b)])
+def ratio_of(a: Column, b: Column) -> Column:
+    def ratios(left: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series([ratio(x, y) for x, y in zip(left, right)])
+
+    return F.pandas_udf(ratios, "double")(a, b)
 
 
 def letter_counts(name: Column) -> Column:
@@ -65,4 +67,4 @@ def similar_pairs(names: DataFrame, least: float = LEAST) -> DataFrame:
     pairs = pairs.filter("name <> name2").filter(2.0 * shared_letters(F.col("letters"), F.col("letters2")) >= least * (F.col("n") + F.col("m")) - 1e-9)
     first = F.col("ord") < F.col("ord2")
     ordered = pairs.select(F.when(first, F.col("name")).otherwise(F.col("name2")).alias("name_a"), F.when(first, F.col("name2")).otherwise(F.col("name")).alias("name_b"))
-    return ordered.withColumn("similarity", ratio_udf("name_a", "name_b")).filter(F.col("similarity") >= least)
+    return ordered.withColumn("similarity", ratio_of(F.col("name_a"), F.col("name_b"))).filter(F.col("similarity") >= least)

@@ -85,9 +85,13 @@ def _html_text(html: str | None) -> str | None:
     return " ".join(parser.parts)
 
 
-@F.pandas_udf("string")
-def html_text_udf(html: pd.Series) -> pd.Series:
-    return html.map(_html_text)
+def html_text(html: Column) -> Column:
+    """All text nodes of a page, stripped and joined by spaces."""
+    
+    def texts(pages: pd.Series) -> pd.Series:
+        return pages.map(_html_text)
+
+    return F.pandas_udf(texts, "string")(html)
 
 
 def filing_text(landed: DataFrame) -> DataFrame:
@@ -95,7 +99,7 @@ def filing_text(landed: DataFrame) -> DataFrame:
     joined by spaces; other bodies as they are; cut to `TEXT_LIMIT` characters."""
     shipped(landed.sparkSession)
     is_html = F.lower(F.coalesce("content_type", F.lit(""))).contains("html") | F.lower(F.coalesce("body", F.lit(""))).contains("<html")
-    return landed.withColumn("text", F.substring(F.when(is_html, html_text_udf("body")).otherwise(F.col("body")), 1, TEXT_LIMIT))
+    return landed.withColumn("text", F.substring(F.when(is_html, html_text(F.col("body"))).otherwise(F.col("body")), 1, TEXT_LIMIT))
 
 
 def filing_records(filings: DataFrame, section_landed: DataFrame, full_landed: DataFrame) -> DataFrame:
