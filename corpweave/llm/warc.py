@@ -172,6 +172,9 @@ class CaptureIndex:
         self._block: tuple[str, int, list, list] | None = None
         self._reads = Ranges()
 
+    def __reduce__(self):  # open files and what was read stay behind
+        return CaptureIndex, (self.segments, self.folder)
+
     def locate(self, key: str) -> list[tuple[str, int, int]]:
         """(archive, offset, length) of the captures with a line key."""
         found, at = [], bisect_right(self._firsts, key) - 1
