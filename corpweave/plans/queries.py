@@ -515,7 +515,7 @@ def resolved_entities(spark, sf):
     return rows.select("source_id", "raw_mention", "start_char", "normalized_name", "base_name", "legal_suffixes", "canonical_name", "merge_confidence", "merge_decision")
 
 
-BASES["near_names"] = "SELECT c_custkey AS source_id, CASE c_custkey % 3 WHEN 0 THEN 'House of ' WHEN 1 THEN 'Houses of ' ELSE 'The House ' END || substr(md5(CAST(c_custkey - c_custkey % 3 AS STRING)), 1, 9) || CASE c_custkey % 5 WHEN 0 THEN ' Inc' ELSE '' END AS raw_mention, 0 AS start_char, 5 AS end_char FROM {customer} WHERE c_custkey >= 0"
+BASES["near_names"] = "SELECT c_custkey AS source_id, CASE c_custkey % 3 WHEN 0 THEN 'House of ' WHEN 1 THEN 'Houses of ' ELSE 'The House ' END || substr(md5(CAST((c_custkey - c_custkey % 3) % 600 AS STRING)), 1, 9) || CASE c_custkey % 5 WHEN 0 THEN ' Inc' ELSE '' END AS raw_mention, 0 AS start_char, 5 AS end_char FROM {customer} WHERE c_custkey >= 0"
 
 
 @query("similarity_pairs")

@@ -69,14 +69,16 @@ def assignments(landed: DataFrame, limit: int = 20) -> DataFrame:
     def field(name: str) -> Column:
         return _filled(F.trim(unescaped(F.regexp_extract("d", rf"(?is)<{name}(?:\s[^>]*)?>(.*?)</{name}>", 1))))
 
-    def said(label: str, value: Column) -> Column:
-        return F.concat(F.lit(f"{label}: "), F.coalesce(value, F.lit("")))
-
-    number = F.coalesce(field("patentnumber"), field("applicationnumber"))
-    reel, frame = field("reelno"), field("frameno")
-    url = F.when(reel.isNotNull() & frame.isNotNull(), F.concat(F.lit(f"{PATENT_URL}#!/patent/search/resultAbstract?reelFrame="), reel, F.lit(":"), frame)).otherwise(PATENT_URL)
-    text = joined_text(*[said(*p) for p in (("Assignor", field("assignor")), ("Assignee", field("assignee")), ("Patent/Application", number), ("Execution date", field("executiondate")), ("Recorded date", field("recordeddate")))])
-    return rows.select("seed", "place", text.alias("raw_text"), url.alias("url"), F.coalesce(field("recordeddate"), field("executiondate")).alias("date"))
+    names = ["assignor", "assignee", "patentnumber", "applicationnumber", "executiondate", "recordeddate", "reelno", "frameno"]
+    rows = rows.select("seed", "place", *[field(n).alias(n) for n in names])  # each is searched for once
+
+    def said(label: str, *columns: str) -> Column:
+        return F.concat(F.lit(f"{label}: "), F.coalesce(*columns, F.lit("")))
+
+    parts = [said("Assignor", "assignor"), said("Assignee", "assignee"), said("Patent/Application", "patentnumber", "applicationnumber"), said("Execution date", "executiondate"), said("Recorded date", "recordeddate")]
+    whole = F.concat(F.lit(f"{PATENT_URL}#!/patent/search/resultAbstract?reelFrame="), F.col("reelno"), F.lit(":"), F.col("frameno"))
+    url = F.coalesce(whole, F.lit(PATENT_URL))
+    return rows.select("seed", "place", joined_text(*parts).alias("raw_text"), url.alias("url"), F.coalesce("recordeddate", "executiondate").alias("date"))
 
 
 def registered(landed: DataFrame) -> DataFrame:
