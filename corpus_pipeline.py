@@ -33,13 +33,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out passages that an earlier document holds; nothing else of a document goes."""
-    kept = without_repeats(docs, with_text=True).filter("n_removed > 0").select(F.col("doc_id").alias("kept_id"), "text_hash", "kept_text")
-    kept = kept.dropDuplicates(["kept_id", "text_hash"])
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("text_hash"))
-    joined = docs.join(kept, same, "left")
-    text = F.when(F.col("kept_text").isNull(), F.col("text")).otherwise(F.col("kept_text"))
-    changed = {"text": text, "n_chars": F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.length("kept_text").cast("long"))}
-    return joined.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+    kept = without_repeats(docs, with_text=True)
+    changed = F.col("n_removed") > 0
+    columns = {
+        "doc_id": F.col("doc_id"),
+        "text": F.when(~F.col("rest.no_text"), F.col("kept_text")),
+        "n_chars": F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("rest.n_chars")),
+    }
+    return kept.select(*[columns.get(c, F.col(f"rest.{c}")).alias(c) for c in docs.columns])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
