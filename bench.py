@@ -27,7 +27,6 @@ HEADLINE = [
     "xml_patent_parse",
     "ingest_union_ids",
     "ruler_patterns",
-    "dictionary_mentions",
     "resolved_entities",
     "review_queue",
     "sentence_assign",
