@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from corpweave.llm.langid import UNDETERMINED, fit, predict
 from corpweave.llm.mixing import allotted
+from corpweave.llm.neardup import near_copies
 from corpweave.llm.packing import packed
-from corpweave.llm.simhash import near_duplicates
 from corpweave.llm.suffix import without_repeats
 from corpweave.storage import written
 
@@ -22,8 +22,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least doc_id of each group of near copies."""
-    groups = near_duplicates(docs)
+    """Keeps the document with the least doc_id of each group of near copies: shingles of
+    five words with a similarity of 0.8 or more."""
+    groups = near_copies(docs)
     dropped = groups.filter("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
     if docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
