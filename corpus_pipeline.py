@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpweave.llm.langid import UNDETERMINED, fit, predict
+from corpweave.llm.langid import fit, in_learned_language
 from corpweave.llm.mixing import allotted
 from corpweave.llm.neardup import near_copies
 from corpweave.llm.packing import packed
@@ -16,9 +16,9 @@ ORACLE_SQL = None  # no stage can be expressed in SQL; tests hold each against a
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which no language is recognised: null, empty or without a letter."""
-    model = fit(docs.select("doc_id", "text", "lang"))
-    return predict(docs, model).filter(F.col("language.lang_pred") != UNDETERMINED).drop("language")
+    """Drops documents without a letter and those in none of the languages learned from
+    the labelled rows; `LanguageModel.recognised` has the rule."""
+    return in_learned_language(docs, fit(docs.select("doc_id", "text", "lang")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

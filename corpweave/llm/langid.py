@@ -30,9 +30,17 @@ SAMPLE_PER_LANG = 1500
 ALPHA = 0.1
 #: code points scored at once
 CHUNK = 1 << 18
+#: a text is in no learned language if its mean log-probability a gram is lower than that of
+#: the training text by more than MARGIN, and SHORT over the root of its letters besides
+MARGIN = 1.75
+SHORT = 4.0
+#: grams of a language that must be learned before its training text is a measure of others
+LEAST_GRAMS = 200_000
 UNDETERMINED = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
+#: what is no prose: tokens with a digit, marks
+_NO_WORD = re.compile(r"\S*\d\S*|[^\w\s]+|_+")
 #: multipliers of the n-gram hashes, for n = 1, 2, 3
 _MIX = tuple(tuple(np.uint32(x) for x in m) for m in ((0x9E3779B1,), (0x85EBCA77, 0xC2B2AE3D), (0x27D4EB2F, 0x165667B1, 0xD3A2646D)))
 
@@ -95,6 +103,9 @@ class LanguageModel:
     langs: list[str]
     matrix: np.ndarray
     prior: np.ndarray
+    #: mean log probability a gram of each language's training text; minus infinity where
+    #: less than LEAST_GRAMS were learned
+    level: np.ndarray | None = None
 
     def score(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Predicted language and its posterior; `und` and 0 for texts that are
@@ -103,21 +114,51 @@ class LanguageModel:
         known = [i for i, t in enumerate(texts) if t and self.langs and _LETTER.search(t)]
         if not known:
             return labels, scores
-        total = np.zeros((len(known), len(self.langs)))
+        total = self._totals([texts[i].lower() for i in known])
+        total += self.prior
+        best = total.argmax(axis=1)
+        part = np.exp(total - total.max(axis=1, keepdims=True))
+        for i, b, s in zip(known, best.tolist(), (1 / part.sum(axis=1)).tolist()):
+            labels[i], scores[i] = self.langs[b], min(1.0, s)
+        return labels, scores
+
+    def _totals(self, texts: list[str]) -> np.ndarray:
+        """Log probability of each (not empty, lower-cased) text in each language."""
+        total = np.zeros((len(texts), len(self.langs)))
         nothing = np.uint32(len(self.matrix) - 1)
-        for text, starts, owners in _pieces([texts[i].lower() for i in known]):
+        for text, starts, owners in _pieces(texts):
             points = _points(text)
             silent = _starts_of_grams(starts, len(points))
             silent = silent[silent < len(points) - 2]
             for bucket in gram_buckets(points, int(nothing).bit_length() - 1):
                 bucket[silent] = nothing
                 np.add.at(total, owners, np.add.reduceat(self.matrix[bucket], starts, axis=0, dtype=np.float64))
-        total += self.prior
-        best = total.argmax(axis=1)
-        part = np.exp(total - total.max(axis=1, keepdims=True))
-        for i, b, s in zip(known, best.tolist(), (1 / part.sum(axis=1)).tolist()):
-            labels[i], scores[i] = self.langs[b], min(1.0, s)
-        return labels, scores
+        return total
+
+    def recognised(self, texts: list[str | None]) -> np.ndarray:
+        """Whether a text has a letter and is in a learned language: the mean log
+        probability of its grams in its best language comes up to the training text's.
+        A text that fails is judged once more by its words alone, so numbers, keys and
+        marks within prose do not count against it.  Without a measure (no language
+        learned, or too little of the best one) a letter is enough."""
+        out = np.array([bool(t and _LETTER.search(t)) for t in texts], dtype=bool)
+        if not self.langs or self.level is None:
+            return out
+        asked = np.flatnonzero(out)
+        for strip in (False, True):
+            held = [_NO_WORD.sub(" ", texts[i].lower()) if strip else texts[i].lower() for i in asked]
+            if strip:
+                held = [" ".join(t.split()) or texts[i].lower() for i, t in zip(asked, held)]
+            if not held:
+                break
+            total = self._totals(held)
+            best = (total + self.prior).argmax(axis=1)
+            n = np.array([len(t) for t in held])
+            mean = total[np.arange(len(held)), best] / (len(_MIX) * n)
+            low = mean < self.level[best] - MARGIN - SHORT / np.sqrt(n)
+            out[asked] = ~low
+            asked = asked[low]
+        return out
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -166,7 +207,9 @@ def fit(docs: DataFrame, bits: int = BUCKET_BITS, sample_per_lang: int = SAMPLE_
     counts[got["bucket"].to_numpy(), [at[x] for x in got["lang"].to_pylist()]] = got["n"].to_numpy()
     logp = np.log(counts + ALPHA) - np.log(counts.sum(axis=0) + ALPHA * (1 << bits))
     prior = np.log(np.array([n[lang] for lang in langs]) / sum(n.values()))
-    return LanguageModel(langs, np.vstack([logp, np.zeros((1, len(langs)))]).astype(np.float32), prior)
+    learned = counts.sum(axis=0)
+    level = np.where(learned >= LEAST_GRAMS, (counts * logp).sum(axis=0) / np.maximum(learned, 1), -np.inf)
+    return LanguageModel(langs, np.vstack([logp, np.zeros((1, len(langs)))]).astype(np.float32), prior, level)
 
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -194,6 +237,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "language.lang_pred", "language.score")
 
 
-def confident(threshold: float = 0.5) -> Column:
-    """Rows whose language was recognised, for filters."""
-    return (F.col("language.lang_pred") != UNDETERMINED) & (F.col("language.score") >= threshold)
+def in_learned_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """The rows of `docs` that `LanguageModel.recognised` holds."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def recognised(texts: pd.Series) -> pd.Series:
+        return pd.Series(held.value.recognised(texts.tolist()))
+
+    return batched(docs).filter(recognised(F.col("text")))
