@@ -336,7 +336,7 @@ def filings_zip_limit(spark, sf):
 
 
 BASES["title_rows"] = "SELECT s_suppkey AS ord, upper(CASE WHEN s_suppkey % 2 = 0 THEN s_name || ' Corp' ELSE s_name END) AS title, CAST(s_suppkey + 100 AS STRING) AS cik FROM {supplier}"
-BASES["cik_seeds"] = "SELECT DISTINCT CASE WHEN c_custkey % 2 = 0 THEN 'supplier#00000000' || CAST(c_custkey % 12 AS STRING) ELSE 'The Supplier#00000000' || CAST(c_custkey % 10 AS STRING) || ' Corp Group' END AS seed FROM {customer}"
+BASES["cik_seeds"] = "SELECT DISTINCT CASE WHEN c_custkey % 2 = 0 THEN 'supplier#' || lpad(CAST(c_custkey AS STRING), 9, '0') ELSE 'The Supplier#' || lpad(CAST(c_custkey AS STRING), 9, '0') || ' Corp Group' END AS seed FROM {customer}"
 
 
 @query("cik_first_match", "SELECT seed, min_by(lpad(cik, 10, '0'), ord) AS cik FROM {cik_seeds} JOIN {title_rows} ON contains(title, upper(seed)) OR contains(upper(seed), title) GROUP BY seed")
@@ -515,7 +515,7 @@ def resolved_entities(spark, sf):
     return rows.select("source_id", "raw_mention", "start_char", "normalized_name", "base_name", "legal_suffixes", "canonical_name", "merge_confidence", "merge_decision")
 
 
-BASES["near_names"] = "SELECT c_custkey AS source_id, CASE c_custkey % 3 WHEN 0 THEN 'House of ' WHEN 1 THEN 'Houses of ' ELSE 'The House ' END || substr(md5(CAST((c_custkey - c_custkey % 3) % 600 AS STRING)), 1, 9) || CASE c_custkey % 5 WHEN 0 THEN ' Inc' ELSE '' END AS raw_mention, 0 AS start_char, 5 AS end_char FROM {customer} WHERE c_custkey >= 0"
+BASES["near_names"] = "SELECT c_custkey AS source_id, CASE c_custkey % 3 WHEN 0 THEN 'House of ' WHEN 1 THEN 'Houses of ' ELSE 'The House ' END || substr(md5(CAST(c_custkey - c_custkey % 3 AS STRING)), 1, 9) || CASE c_custkey % 5 WHEN 0 THEN ' Inc' ELSE '' END AS raw_mention, 0 AS start_char, 5 AS end_char FROM {customer} WHERE c_custkey >= 0"
 
 
 @query("similarity_pairs")

@@ -26,3 +26,11 @@ def test_graph_components_links_all_orders(spark):
     got = {r.node: r.component for r in queries.Q["graph_components"](spark, sf).collect()}
     assert got == want
     assert queries.view(spark, sf, "customer_links").count() == len(orders)
+
+
+def test_names_and_seeds_grow_with_customer(spark):
+    for size in ("sf0.001", "sf0.01"):
+        sf = str(DATA / size)
+        customers = spark.read.parquet(f"{sf}/customer.parquet").count()
+        assert queries.view(spark, sf, "near_names").select("raw_mention").distinct().count() == customers
+        assert queries.view(spark, sf, "cik_seeds").count() == customers
