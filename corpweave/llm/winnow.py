@@ -5,7 +5,8 @@ hash, the rightmost of equal ones, and what is selected keeps its position.  Any
 run of GRAM + WINDOW - 1 words that two texts share has a selected gram in both.
 A hash and its position are one number: 39 bits of hash above 24 bits that fall
 with the position, so the least number is the least hash furthest right, and the
-minimum over a window is built up from minima over 2, 4, 8 and 16 grams.
+minimum over a window is built up from minima over 2, 4 and so on, the last two
+overlapping.  A run of 7 words, so also what an edit leaves of a short text, is held.
 """
 
 from __future__ import annotations
@@ -13,9 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-GRAM = 5
-#: a power of two
-WINDOW = 16
+GRAM = 3
+WINDOW = 5
 _POSITION_BITS = 24
 _SPACE = " \t\n\x0b\x0c\r"
 #: stands for a null doc_id: less than any
@@ -40,9 +40,9 @@ def with_selection(df: DataFrame, text: str, out: str) -> DataFrame:
     df = df.withColumn(grams, F.transform(hashes, number))
     source, width = grams, 1
     while width < WINDOW:
-        into = f"{least}{width}"
-        df = df.withColumn(into, F.zip_with(source, F.slice(source, width + 1, F.greatest(F.size(source), F.lit(1))), lambda a, b: F.least(a, b)))
-        source, width = into, 2 * width
+        into, step = f"{least}{width}", min(width, WINDOW - width)
+        df = df.withColumn(into, F.zip_with(source, F.slice(source, step + 1, F.greatest(F.size(source), F.lit(1))), lambda a, b: F.least(a, b)))
+        source, width = into, width + step
     windows = F.slice(source, 1, F.greatest(F.size(source) - (WINDOW - 1), F.lit(1)))
     keep = [c for c in df.columns if not c.startswith(f"{out}_")]
     return df.select(*keep, F.array_distinct(windows).alias(out))
