@@ -34,7 +34,7 @@ _SPACES = re.compile(r"[ \t\n\r\f]+")
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template".split())
-_UNSEEN = frozenset("script style title head template noscript iframe noembed noframes object audio video canvas svg math datalist param meta link base".split())
+_UNSEEN = frozenset("script style title head template noscript iframe noembed noframes object audio video canvas datalist param meta link base".split())
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table ul caption tr".split()
 )
@@ -55,6 +55,18 @@ _IMPLIED = {
     "rt": ({"rp", "rt"}, {"ruby"}),
     "body": ({"head"}, {"html"}),
 }
+#: what an open head may hold; anything else ends it
+_IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
+#: elements of other vocabularies, in which a tag may close itself
+_FOREIGN = frozenset({"svg", "math"})
+#: within those, what names or describes and is not shown
+_FOREIGN_UNSEEN = {"svg": frozenset("title desc metadata defs symbol clippath mask marker pattern lineargradient radialgradient filter".split()), "math": frozenset({"annotation", "annotation-xml"})}
+#: a tag of a page within svg or math ends it, as the HTML standard has it
+_ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+#: elements of svg and math that hold parts of a page again
+_PAGE_WITHIN = frozenset({"foreignobject", "desc", "title", "annotation-xml", "mi", "mo", "mn", "ms", "mtext"})
 _IMPLIED["thead"] = _IMPLIED["tfoot"] = _IMPLIED["caption"] = _IMPLIED["tbody"]
 
 
@@ -72,8 +84,19 @@ def build(html: str) -> Node:
 
     def text(raw: str) -> None:
         if raw:
+            if open_[-1].tag == "head" and raw.strip(" \t\n\r\f"):
+                open_.pop()
             open_[-1].children.append(unescape(raw))
 
+    def foreign() -> int:
+        """Place of the open svg or math that the next tag belongs to; 0 if to none."""
+        for i in range(len(open_) - 1, 0, -1):
+            if open_[i].tag in _FOREIGN:
+                return i
+            if open_[i].tag in _PAGE_WITHIN:
+                return 0
+        return 0
+
     def close(ends: set | frozenset, stops: set | frozenset) -> None:
         for i in range(len(open_) - 1, 0, -1):
             if open_[i].tag in ends:
@@ -114,6 +137,25 @@ def build(html: str) -> Node:
         attrs = {a.lower(): unescape(x or y or z or "") for a, x, y, z in _ATTR.findall(raw)} if raw.strip(" /\n\t") else {}
         if tag == "html":
             continue
+        if open_[-1].tag == "head" and tag not in _IN_HEAD:
+            open_.pop()
+        inside_foreign = foreign()
+        if inside_foreign and tag in _ENDS_FOREIGN:
+            del open_[inside_foreign:]
+            inside_foreign = 0
+        if inside_foreign or tag in _FOREIGN:
+            node = Node(tag, attrs)
+            if raw.endswith("/"):
+                open_[-1].children.append(node)
+            elif inside_foreign and tag in ("script", "style"):
+                end = re.compile(rf"</{tag}[^>]*>", re.I).search(html, at)
+                open_[-1].children.append(node)
+                at = end.end() if end else n
+            else:
+                _open(open_, node)
+                if inside_foreign and tag in _FOREIGN_UNSEEN[open_[inside_foreign].tag]:
+                    node.attrs["hidden"] = ""
+            continue
         if tag in _ENDS_P:
             close({"p"}, {"td", "th", "table", "button", "caption"})
         if tag in _IMPLIED:
