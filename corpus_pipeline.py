@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpweave.llm.langid import fit, in_learned_language
-from corpweave.llm.mixing import allotted
+from corpweave.llm.mixing import mixed_documents
 from corpweave.llm.neardup import near_copies
 from corpweave.llm.packing import packed
 from corpweave.llm.suffix import without_repeats
@@ -45,11 +45,9 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats and leaves out documents so that the sources have their target shares."""
-    times = allotted(docs).select(F.col("doc_id").alias("taken_id"), F.size("copies").alias("times")).filter("times > 0")
-    times = times.groupBy("taken_id").agg(F.max("times").alias("times"))  # rows without doc_id: one number for all
-    joined = docs.join(times, F.col("doc_id").eqNullSafe(F.col("taken_id")))
-    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), "times")).alias("copy")).select(*docs.columns)
+    """Repeats and leaves out documents so that the sources have their target shares;
+    the mix stands by shard, each shard in its own order."""
+    return mixed_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,6 +43,10 @@ def _key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("s"), source), F.lit("n"))
 
 
+def row_key() -> Column:
+    return F.xxhash64("doc_id", "text")
+
+
 def targets(sizes: list[tuple[str | None, int]], weights: tuple = WEIGHTS, most: int = MOST_TIMES) -> list[float]:
     """Target of each of the sources, which come in their order: shares by weight of
     the sum of all sizes; what exceeds `most` sizes of a source goes to the others."""
@@ -83,13 +87,14 @@ def split_tree(blocks: list[int], shards: int, seed: int = SEED) -> np.ndarray:
 
 
 def allotted(docs: DataFrame, weights: tuple = WEIGHTS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """Each row of `docs` (doc_id, source, text) as doc_id, source, size, source_size,
-    target and copies: an array of struct(pass, shard), one for each time it is taken.
+    """Each row of `docs` (doc_id, source, text) as row (a number of its own), key (a hash
+    of doc_id and text), doc_id, source, size, source_size, target and copies: an array of
+    struct(pass, shard), one for each time it is taken.
 
     A null text has size 0, a null source is a source of its own; a null doc_id is
     hashed like a value.  Repeated rows are rows of their own."""
     spark = docs.sparkSession
-    sized = docs.select("doc_id", "source", words_in(F.col("text")).alias("size"))
+    sized = docs.select(F.monotonically_increasing_id().alias("row"), row_key().alias("key"), "doc_id", "source", words_in(F.col("text")).alias("size"))
     sized = sized.withColumn("skey", _key(F.col("source"))).withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(BLOCKS)).cast("int"))
     sized = written(sized, "mix-sizes")
     blocks = written(sized.groupBy("skey", "block").agg(F.first("source").alias("source"), F.sum("size").alias("words")), "mix-blocks")
@@ -125,22 +130,44 @@ def allotted(docs: DataFrame, weights: tuple = WEIGHTS, shards: int = SHARDS, se
     rows_ = sized.join(copies, ["skey", "block"], "left").withColumn("upto", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     taken = F.filter(F.coalesce("draws", F.array().cast("array<struct<pass:int,shard:int,rest:double>>")), lambda d: d["rest"].isNull() | (F.col("upto") - F.col("size") / 2.0 <= d["rest"]))
     taken = F.transform(taken, lambda d: F.struct(d["pass"].alias("pass"), d["shard"].alias("shard")))
-    return rows_.join(hint(plan), "skey").select("doc_id", "source", "size", "source_size", "target", taken.alias("copies"))
+    return rows_.join(hint(plan), "skey").select("row", "key", "doc_id", "source", "size", "source_size", "target", taken.alias("copies"))
+
+
+def dealt(each: DataFrame, seed: int = SEED) -> DataFrame:
+    """The rows of `allotted`, one for each time a document is taken, with `shard` and
+    `place`, the order in the shard."""
+    rows = each.select("row", "key", "doc_id", "source", "size", F.explode("copies").alias("copy"))
+    return rows.select("row", "key", "doc_id", "source", "size", "copy.pass", "copy.shard", F.xxhash64("doc_id", "copy.pass", F.lit("place"), F.lit(seed)).alias("place"))
+
+
+def in_shards(rows: DataFrame) -> DataFrame:
+    """`rows` dealt by shard, each shard in the order of its places."""
+    return rows.repartition("shard").sortWithinPartitions("shard", "place")
 
 
 def mixed(docs: DataFrame, weights: tuple = WEIGHTS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """The mix itself: a row for each time a document is taken, with `shard` and
-    `place`, the order in the shard.  Write it with `repartition("shard")` and
-    `sortWithinPartitions("shard", "place")`."""
-    each = allotted(docs, weights, shards, seed).select("doc_id", "source", "size", F.explode("copies").alias("copy"))
-    return each.select("doc_id", "source", "size", "copy.pass", "copy.shard", F.xxhash64("doc_id", "copy.pass", F.lit("place"), F.lit(seed)).alias("place"))
+    `place`, the order in the shard.  Write it with `in_shards`."""
+    return dealt(allotted(docs, weights, shards, seed), seed).drop("row", "key")
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The documents of the mix with all their columns, by shard and place.  Equal rows
+    are taken alike."""
+    copies = dealt(allotted(docs)).groupBy("key").agg(F.collect_set(F.struct("shard", "place")).alias("copies"))
+    taken = docs.withColumn("key", row_key()).join(copies, "key").select(*docs.columns, F.explode("copies").alias("copy"))
+    return in_shards(taken.select(*docs.columns, "copy.shard", "copy.place")).select(*docs.columns)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a mix of all documents takes: doc_id, size, source_size, target, taken.
+    """What a mix of all documents takes: doc_id, size, source_size, target, taken.  The
+    mix is written in shards, and `taken` is counted in them.
 
     See `allotted` for nulls and repeated rows; documents without words are taken
     like others and count nothing.  An empty table gives no rows; further columns
     are ignored."""
-    found = allotted(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("copies")).alias("taken"))
+    each = written(allotted(spark.read.parquet(f"{sf_dir}/documents.parquet")), "mix-rows")
+    mix = written(in_shards(dealt(each)), "mix")
+    taken = mix.groupBy("row").agg(F.sum("size").alias("taken"))
+    found = each.join(taken, "row", "left")
+    return found.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
