@@ -56,8 +56,9 @@ def shingles(text: str | None, seen: dict | None = None) -> np.ndarray:
     if not words:
         return np.zeros(0, dtype=np.uint64)
     seen = {} if seen is None else seen
-    for w in set(words) - seen.keys():
-        seen[w] = xxhash.xxh64_intdigest(w)
+    for w in words:
+        if w not in seen:
+            seen[w] = xxhash.xxh64_intdigest(w)
     h = np.array([seen[w] for w in words], dtype=np.uint64)
     k = min(SHINGLE_WORDS, len(h))
     m = len(h) - k + 1
@@ -82,7 +83,7 @@ def minhashes(found: np.ndarray) -> np.ndarray:
 
 
 def _words_seen(seen: dict) -> None:
-    if len(seen) > 200_000:
+    if len(seen) > 50_000:
         seen.clear()
 
 
@@ -132,8 +133,10 @@ def near_sketches(sketch: np.ndarray, rng: np.random.Generator) -> tuple[np.ndar
     left, right = [], []
     for at in range(0, len(sketch), BLOCK):
         part = sketch[at : at + BLOCK]
-        differ = np.bitwise_count(part[:, None, :] ^ part[None, :, :]).sum(axis=2, dtype=np.int64)
-        np.fill_diagonal(differ, 1 << 10)
+        differ = np.zeros((len(part), len(part)), dtype=np.uint8)
+        for word in part.T:
+            differ += np.bitwise_count(word[:, None] ^ word[None, :])
+        np.fill_diagonal(differ, 255)
         near = differ <= SKETCH_BITS
         crowded = near.sum(axis=1) > MOST
         for i in np.flatnonzero(crowded):
