@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpweave.llm.common import batched
+from corpweave.llm.common import mapped, release, small_batches
 
 #: log2 of the number of hash buckets of the matrix
 BUCKET_BITS = 16
@@ -38,13 +38,18 @@ SHORT = 4.0
 LEAST_GRAMS = 200_000
 UNDETERMINED = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_WORD_SIGN = re.compile(r"[^\W\d_]")
 #: what is no prose: tokens with a digit, marks
 _NO_WORD = re.compile(r"\S*\d\S*|[^\w\s]+|_+")
 #: multipliers of the n-gram hashes, for n = 1, 2, 3
 _MIX = tuple(tuple(np.uint32(x) for x in m) for m in ((0x9E3779B1,), (0x85EBCA77, 0xC2B2AE3D), (0x27D4EB2F, 0x165667B1, 0xD3A2646D)))
 
 
+def has_letter(text: str) -> bool:
+    """Whether a text has a sign of Unicode's categories L; numbers such as ½ or Ⅷ are none."""
+    return any(m[0].isalpha() for m in _WORD_SIGN.finditer(text))
+
+
 def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
@@ -111,7 +116,7 @@ class LanguageModel:
         """Predicted language and its posterior; `und` and 0 for texts that are
         null or have no letter, or if no language was learned."""
         labels, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-        known = [i for i, t in enumerate(texts) if t and self.langs and _LETTER.search(t)]
+        known = [i for i, t in enumerate(texts) if t and self.langs and has_letter(t)]
         if not known:
             return labels, scores
         total = self._totals([texts[i].lower() for i in known])
@@ -141,7 +146,7 @@ class LanguageModel:
         A text that fails is judged once more by its words alone, so numbers, keys and
         marks within prose do not count against it.  Without a measure (no language
         learned, or too little of the best one) a letter is enough."""
-        out = np.array([bool(t and _LETTER.search(t)) for t in texts], dtype=bool)
+        out = np.array([bool(t and has_letter(t)) for t in texts], dtype=bool)
         if not self.langs or self.level is None:
             return out
         asked = np.flatnonzero(out)
@@ -200,7 +205,7 @@ def fit(docs: DataFrame, bits: int = BUCKET_BITS, sample_per_lang: int = SAMPLE_
     share = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, sample_per_lang / n[lang]))])
     chance = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("langid")), F.lit(1_000_003)) / 1_000_003.0
     sample = rows.filter(chance <= F.element_at(share, F.col("lang"))).select("lang", "text")
-    sums = batched(sample, 256).mapInArrow(_counts(bits), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    sums = mapped(sample, _counts(bits), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     counts = np.zeros((1 << bits, len(langs)))
     got = sums.toArrow()
     at = {lang: i for i, lang in enumerate(langs)}
@@ -218,11 +223,13 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
-    def language(texts: pd.Series) -> pd.DataFrame:
-        labels, scores = held.value.score(texts.tolist())
-        return pd.DataFrame({"lang_pred": labels, "score": scores})
+    def language(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            labels, scores = held.value.score(texts.tolist())
+            yield pd.DataFrame({"lang_pred": labels, "score": scores})
+        release()
 
-    return batched(docs).withColumn("language", language(F.col("text")))
+    return small_batches(docs).withColumn("language", language(F.col("text")))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,7 +249,9 @@ def in_learned_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
-    def recognised(texts: pd.Series) -> pd.Series:
-        return pd.Series(held.value.recognised(texts.tolist()))
+    def recognised(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(held.value.recognised(texts.tolist()))
+        release()
 
-    return batched(docs).filter(recognised(F.col("text")))
+    return small_batches(docs).filter(recognised(F.col("text")))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpweave.llm.common import batched
+from corpweave.llm.common import mapped
 from corpweave.llm.simhash import _join
 from corpweave.operators.components import connected_components
 from corpweave.storage import written
@@ -195,7 +195,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tables: int =
     classes = good.groupBy("vkey", "label", "embedding").agg(F.min("vec_id").alias("class_id"), F.count("*").alias("copies"))
     each = (1 + probes) ** 2
     schema = "label string, class_id long, copies long, embedding array<double>, codes array<long>"
-    coded = batched(classes.select(F.col("label").cast("string").alias("label"), "class_id", "copies", "embedding")).mapInArrow(_cell_rows(tables, probes), schema)
+    coded = mapped(classes.select(F.col("label").cast("string").alias("label"), "class_id", "copies", "embedding"), _cell_rows(tables, probes), schema)
     coded = written(coded, "lattice-classes")
     place = F.struct("label", F.size("embedding").alias("dim"))
     met = coded.select(place.alias("place"), "class_id", F.posexplode("codes").alias("pos", "code"))
@@ -210,7 +210,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tables: int =
     sent = sent.select(*where, "class_id", F.least("mine", "with").alias("lo"), F.greatest("mine", "with").alias("hi"), F.when(F.col("blocks") == 1, -1).otherwise(side).alias("side"))
     full = sent.join(coded.select("class_id", "copies", "embedding", "codes"), "class_id")
     groups = full.groupBy(*where, "lo", "hi").agg(F.collect_list(F.struct("class_id", "copies", "side", "embedding", "codes")).alias("members"))
-    found = batched(groups.select("code", "tab", "members"), 64).mapInArrow(_cell_links(threshold, tables, probes), "class_id long, other long, links long")
+    found = mapped(groups.select("code", "tab", "members"), _cell_links(threshold, tables, probes), "class_id long, other long, links long", rows=64)
     found = written(found, "lattice-links")
     links = found.filter("other = -1").groupBy("class_id").agg(F.sum("links").alias("links"))
     linked = connected_components(found.filter("other <> -1"), "class_id", "other").withColumnRenamed("node", "class_id")

@@ -16,7 +16,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from corpweave.llm.common import batched
+from corpweave.llm.common import mapped
 
 #: nodes deeper than this become siblings
 DEPTH = 150
@@ -400,7 +400,7 @@ def rendered(pages: DataFrame) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch["page_id"], pa.array([render(h) for h in batch["html"].to_pylist()], pa.string())], names=["page_id", "text"])
 
-    return batched(pages.select("page_id", "html"), 256).mapInArrow(emit, "page_id long, text string")
+    return mapped(pages.select("page_id", "html"), emit, "page_id long, text string")
 
 
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,8 +31,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from corpweave.llm.common import batched
+from corpweave.llm.common import mapped
 
 MIN_LEN = 50
 GRAM = 16
@@ -502,11 +503,11 @@ def _kept_rows(min_len: int, with_text: bool):
                             runs.append([a, b])
                 cuts = [0, *(x for run in runs for x in run), len(raw)]
                 rest = b"".join(raw[a:b] for a, b in zip(cuts[::2], cuts[1::2]))
-                for into, value in zip(cols, (len(raw), len(raw) - len(rest), len(runs), hashlib.sha256(rest).hexdigest(), rest.decode("utf-8", "ignore") if with_text else None)):
+                for into, value in zip(cols, (len(raw), len(raw) - len(rest), len(runs), hashlib.sha256(rest).hexdigest(), "".join(raw[a:b].decode("utf-8", "ignore") for a, b in zip(cuts[::2], cuts[1::2])) if with_text else None)):
                     into.append(value)
             made = [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()))]
             names = ["did", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
-            carried = ["rest"] if with_text else []
+            carried = ["no_text", "rest"] if with_text else []
             yield pa.RecordBatch.from_arrays([batch["did"], *made, *(batch[c] for c in carried)], names=[*names, *carried])
 
     return emit
@@ -518,42 +519,43 @@ def frequent_anchors(texts: DataFrame, min_len: int, k: int, sample: int = SAMPL
     n = texts.count()
     chosen = texts.filter(F.pmod(F.xxhash64("did", F.lit("sample")), F.lit(max(1, n // sample))) == 0).select("did", "text")
     least = max(20, int(share * min(n, sample)))
-    found = chosen.mapInArrow(_sample_rows(min_len, k), "h long").groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+    found = mapped(chosen, _sample_rows(min_len, k), "h long").groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
     return np.sort(np.array([r["h"] for r in found.select("h").collect()], dtype=np.int64))
 
 
 def without_repeats(docs: DataFrame, min_len: int = MIN_LEN, k: int = GRAM, share: float = FREQUENT, with_text: bool = False) -> DataFrame:
     """Per row of `docs`: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked
-    for, kept_text (a character cut in two goes whole) and `rest`, a struct of the other
-    columns and of no_text, whether the text was null.
+    for, kept_text (a character cut in two goes whole), no_text, whether the text was null,
+    and `rest`, a struct of the other columns.
 
     A null text is empty.  A null doc_id counts as greater than any; rows with one
     doc_id are not compared with each other, and each gives a row."""
     spark = docs.sparkSession
     parts = max(LEAST_PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rest = F.struct(*[F.col(c) for c in docs.columns if c not in ("doc_id", "text")], F.col("text").isNull().alias("no_text"))
-    carried = [rest.alias("rest")] if with_text else []
-    also = ["rest"] if with_text else []
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    rest = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("none"))
+    carried = [F.col("text").isNull().alias("no_text"), rest.alias("rest")] if with_text else []
+    also = ["no_text", "rest"] if with_text else []
     texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), F.coalesce("text", F.lit("")).alias("text"), *carried)
-    texts = batched(texts, 256).withColumn("th", F.xxhash64("text"))
+    texts = texts.withColumn("th", F.xxhash64("text"))
     frequent = spark.sparkContext.broadcast(frequent_anchors(texts, min_len, k, share=share))
     firsts = texts.groupBy(F.sha2("text", 256).alias("sha")).agg(F.min("did").alias("did"), F.first("th").alias("th"))
     firsts = firsts.groupBy("did").agg(F.collect_set("th").alias("firsts"))
     # every join is on did alone: the texts are dealt once, and that exchange is used
     # again; it has to carry the same columns each time
     own = texts.join(firsts, "did", "left").withColumn("first", F.coalesce(F.array_contains("firsts", F.col("th")), F.lit(False)))
-    found = own.filter("first").select("did", "text", *also).mapInArrow(_anchor_rows(min_len, k, parts, frequent), "part int, hs binary, dids binary, ns binary")
-    shared = found.repartitionById(parts, F.col("part")).drop("part").mapInArrow(_shared_rows(frequent), "did long, hs binary")
+    found = mapped(own.filter("first").select("did", "text", *also), _anchor_rows(min_len, k, parts, frequent), "part int, hs binary, dids binary, ns binary")
+    shared = mapped(found.repartitionById(parts, F.col("part")).drop("part"), _shared_rows(frequent), "did long, hs binary")
     marks = shared.groupBy("did").agg(F.collect_list("hs").alias("marks"))
     marked = own.join(marks, "did", "left").filter("first and marks is not null").select("did", "th", "text", "marks", *also)
-    contexts = marked.mapInArrow(_context_rows(min_len, k, parts, frequent), PACKED)
-    spans = contexts.repartitionById(parts, F.col("part")).drop("part").mapInArrow(_span_rows(min_len), "did long, th long, a long, b long")
+    contexts = mapped(marked, _context_rows(min_len, k, parts, frequent), PACKED)
+    spans = mapped(contexts.repartitionById(parts, F.col("part")).drop("part"), _span_rows(min_len), "did long, th long, a long, b long")
     lists = spans.groupBy("did").agg(F.collect_list(F.struct("th", "a", "b")).alias("spans"))
     kept = own.join(lists, "did", "left").select("did", "th", "text", "first", "spans", *also)
     schema = "did long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
     if with_text:
-        schema += f", rest {texts.schema['rest'].dataType.simpleString()}"
-    kept = kept.mapInArrow(_kept_rows(min_len, with_text), schema)
+        schema = StructType([*StructType.fromDDL(schema).fields, texts.schema["no_text"], texts.schema["rest"]])
+    kept = mapped(kept, _kept_rows(min_len, with_text), schema)
     return kept.withColumn("did", F.nullif("did", F.lit(NO_ID))).withColumnRenamed("did", "doc_id")
 
 

@@ -19,12 +19,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import urlsplit
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpweave.llm.common import batched
+from corpweave.llm.common import mapped
 from corpweave.llm.files import Output, Ranges, new_file
 from corpweave.storage import shared_path, written
 
@@ -227,9 +226,9 @@ def write_pages(pages: DataFrame, least: int = LEAST_SHARED) -> tuple[CaptureInd
     rows = rows.join(largest, ["digest", "size"], "left")
     rows = rows.withColumn("refers_to", F.when(~F.col("largest").eqNullSafe(F.col("page_id")), F.col("largest")))
     rows = rows.select("page_id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), "digest", "size", "refers_to")
-    captures = written(batched(rows, 256).mapInArrow(_write_archives(folder), CAPTURE), "captures")
+    captures = written(mapped(rows, _write_archives(folder), CAPTURE), "captures")
     ordered = captures.repartitionByRange(SEGMENTS, "key").sortWithinPartitions("key")
-    segments = ordered.mapInArrow(_write_segments(folder), "first_key string, last_key string, segment string").collect()
+    segments = mapped(ordered, _write_segments(folder), "first_key string, last_key string, segment string").collect()
     return CaptureIndex(sorted(tuple(s) for s in segments), folder), captures
 
 
@@ -238,9 +237,10 @@ def read_captures(index: CaptureIndex, wanted: DataFrame, with_payload: bool = T
     and read by ranges: page_id, payload_bytes, payload_digest, record_type,
     refers_to, url, payload.  Each distinct capture is read once."""
 
-    @F.pandas_udf("string")
-    def keys(pages: pd.Series, urls: pd.Series) -> pd.Series:
-        return pd.Series([line_key(url_key(u), None if p == "" else int(p)) for p, u in zip(pages, urls)])
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [line_key(url_key(u), p) for p, u in zip(batch["page_id"].to_pylist(), batch["url"].to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["key"])
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,11 +255,11 @@ def read_captures(index: CaptureIndex, wanted: DataFrame, with_payload: bool = T
             yield pa.RecordBatch.from_arrays([pa.array([r[c] if c != "payload" or with_payload else None for r in rows], t) for c, t in cols], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"])
         reads.close()
 
-    asked = batched(wanted, 256).select(keys(F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.col("url")).alias("key")).distinct()
+    asked = mapped(wanted.select(F.col("page_id").cast("long"), "url"), keys, "key string").distinct()
     asked = asked.repartitionByRange(SEGMENTS, "key").sortWithinPartitions("key")
-    places = asked.mapInArrow(locate, "archive string, offset long, length long")
+    places = mapped(asked, locate, "archive string, offset long, length long")
     places = places.repartition("archive").sortWithinPartitions("archive", "offset")
-    return places.mapInArrow(fetch, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary")
+    return mapped(places, fetch, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary")
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
