@@ -4,17 +4,19 @@ Pieces of one length are interchangeable, so the search works on the numbers of
 pieces per length, at most `capacity` of them, at any corpus size.  A solution is
 a list of bin patterns with multiplicities.  Islands evolve populations on the
 executors: crossover injects whole well-filled bins of one parent into the other,
-takes out the bins that now hold a piece twice, and places the displaced pieces
-by best fit; mutation empties the worst-filled bins.  After each round an island
-passes its elite to the next one.  The best solution gives closed-form places: the
-k-th piece of a length goes to a bin and offset found by a bounded lookup.
+takes out the bins that now hold a piece twice, exchanges pieces where that fills a
+bin better, and places the displaced pieces by best fit; mutation empties the
+worst-filled bins.  After each round an island passes its elite to the next one.
+The best solution gives closed-form places: the k-th piece of a length goes to a bin
+and offset found by halving.  Ids are written once and read once more for their
+places; they are never shuffled.
 """
 
 from __future__ import annotations
 
 import pickle
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,19 +26,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpweave.llm.common import batched
-from corpweave.llm.tokenize import encoder
+from corpweave.llm.common import mapped
+from corpweave.llm.tokenize import encoder, together
 from corpweave.shipping import shipped
 from corpweave.storage import written
 
 CAPACITY = 1024
 END_ID = 2
-ISLANDS, ROUNDS, GENERATIONS, POPULATION = 4, 2, 6, 5
-#: share of the kept multiplicity of patterns that a crossover injects
+ISLANDS, ROUNDS, GENERATIONS, POPULATION = 4, 3, 200, 6
+#: chance that a whole well-filled bin of the other parent is injected
 INJECT = 0.4
 #: share of the bins, worst-filled first, that a mutation empties
 EMPTY = 0.1
-MOST_SLOTS = 500_000
+#: steps that one island takes in a round, about: patterns handled
+STEPS = 1_500_000
+#: tasks up to which the table of bases, a row of at most `capacity` numbers a task, is broadcast; beyond, it is joined
+BROADCAST_PARTS = 2_000
 
 #: a pattern is a sorted tuple of lengths; a solution maps patterns to numbers of bins
 Solution = dict[tuple[int, ...], int]
@@ -107,36 +112,112 @@ def _keep(pattern, n, rest: dict[int, int], into: Solution) -> None:
             rest[length] -= n * k
 
 
+def _exchanged(solution: Solution, displaced: dict[int, int], rng: np.random.Generator, capacity: int) -> tuple[Solution, dict[int, int]]:
+    """Bins that are not full give one or two pieces for one or two displaced ones that
+    fill them better (the dominance step of grouping algorithms); what they give is
+    displaced in turn and is smaller, so best fit has an easier rest."""
+    out: Solution = {}
+    free = {k: n for k, n in displaced.items() if n}
+    sizes = sorted(free)
+    work = [(p, n) for p, n in solution.items()]
+    rng.shuffle(work)
+    for pattern, n in work:
+        slack = capacity - sum(pattern)
+        while slack and n and sizes:
+            swap = _swap(pattern, slack, sizes, free)
+            if swap is None:
+                break
+            gone, come = swap
+            times = min(n, *(free[c] // come.count(c) for c in set(come)))
+            if not times:
+                break
+            n -= times
+            rest = list(pattern)
+            for x in gone:
+                rest.remove(x)
+                if not free.get(x):
+                    free[x] = 0
+                    insort(sizes, x)
+                free[x] += times
+            for x in come:
+                free[x] -= times
+                if not free[x]:
+                    del free[x]
+                    sizes.remove(x)
+            fuller = tuple(sorted(rest + list(come)))
+            out[fuller] = out.get(fuller, 0) + times
+        if n:
+            out[pattern] = out.get(pattern, 0) + n
+    return out, free
+
+
+def _swap(pattern, slack: int, sizes: list[int], free: dict[int, int]):
+    """(pieces out, pieces in) with the greatest gain of one bin, or None."""
+    best, gain = None, 0
+    held = sorted(set(pattern))
+    outs = [(x,) for x in held] + [(x, y) for i, x in enumerate(held) for y in held[i:] if x != y or pattern.count(x) > 1][:60]
+    for gone in outs:
+        room = sum(gone) + slack
+        i = bisect_right(sizes, room) - 1
+        if i >= 0 and sizes[i] - sum(gone) > gain:
+            best, gain = (gone, (sizes[i],)), sizes[i] - sum(gone)
+        if gain == slack:
+            break
+        if len(gone) == 2:
+            for c in sizes[max(0, bisect_right(sizes, room // 2) - 4) : bisect_right(sizes, room // 2)]:
+                i = bisect_right(sizes, room - c) - 1
+                d = sizes[i]
+                if (d != c or free[c] > 1) and c + d - sum(gone) > gain:
+                    best, gain = (gone, (c, d)), c + d - sum(gone)
+    return best
+
+
+def _filled_up(child: Solution, rest: dict[int, int], rng: np.random.Generator, capacity: int) -> Solution:
+    child, free = _exchanged(child, rest, rng, capacity)
+    return fill_best(child, free, capacity)
+
+
 def cross(a: Solution, b: Solution, wanted: dict[int, int], rng: np.random.Generator, capacity: int = CAPACITY) -> Solution:
     rest, child = dict(wanted), {}
     full = sorted(b, key=lambda p: (-sum(p), rng.random()))
     for pattern in full[: max(1, len(full) * 2 // 3)]:
         if rng.random() < INJECT:
-            _keep(pattern, b[pattern], rest, child)
+            _keep(pattern, max(1, int(b[pattern] * rng.random() + 0.5)), rest, child)
     for pattern in sorted(a, key=lambda p: -sum(p)):
         _keep(pattern, a[pattern], rest, child)
-    return fill_best(child, {k: n for k, n in rest.items() if n}, capacity)
+    return _filled_up(child, rest, rng, capacity)
 
 
 def mutate(a: Solution, wanted: dict[int, int], rng: np.random.Generator, capacity: int = CAPACITY) -> Solution:
+    """Empties the worst-filled bins and some others."""
     rest, child = dict(wanted), {}
-    order = sorted(a, key=lambda p: -sum(p))
     stay = sum(a.values()) * (1 - EMPTY * rng.random())
-    for pattern in order:
+    for pattern in sorted(a, key=lambda p: (-sum(p), rng.random())):
         n = min(a[pattern], int(stay))
         stay -= n
-        if n and rng.random() > EMPTY / 2:
+        if n and rng.random() > EMPTY:
             _keep(pattern, n, rest, child)
-    return fill_best(child, {k: n for k, n in rest.items() if n}, capacity)
+    return _filled_up(child, rest, rng, capacity)
 
 
-def paired_first(wanted: dict[int, int], rng: np.random.Generator, capacity: int = CAPACITY) -> Solution:
-    """A start of another kind: exact pairs and triples first, the rest by best fit."""
+def matched_start(wanted: dict[int, int], rng: np.random.Generator, capacity: int = CAPACITY) -> Solution:
+    """A start of another kind: bins begun with a long piece and closed by the pair or the
+    single piece that fills them best, in an order drawn at random; the rest by best fit."""
     rest, out = dict(wanted), {}
-    for a in sorted(wanted, reverse=True):
-        for b in (capacity - a,):
-            if rest.get(a, 0) and rest.get(b, 0) and rng.random() < 0.9:
-                _keep(tuple(sorted((a, b))), rest[a], rest, out)
+    order = sorted(wanted, key=lambda x: -x * (0.7 + 0.6 * rng.random()))
+    for a in order:
+        sizes = sorted(k for k, n in rest.items() if n)
+        if not rest.get(a):
+            continue
+        room, best = capacity - a, ()
+        for c in sizes[bisect_right(sizes, room // 3) : bisect_right(sizes, room // 2)] or sizes[:1]:
+            i = bisect_right(sizes, room - c) - 1
+            if i >= 0 and sum(best) < c + sizes[i] <= room:
+                best = (c, sizes[i])
+        i = bisect_right(sizes, room) - 1
+        if i >= 0 and sizes[i] > sum(best):
+            best = (sizes[i],)
+        _keep(tuple(sorted((a, *best))), rest[a], rest, out)
     return fill_best(out, {k: n for k, n in rest.items() if n}, capacity)
 
 
@@ -159,19 +240,27 @@ def least_bins(wanted: dict[int, int], capacity: int = CAPACITY) -> int:
 
 
 def evolve(wanted: dict[int, int], elites: list[Solution], seed: int, capacity: int = CAPACITY) -> Solution:
+    """One island: steady-state, the worst of the population making room; it ends at the
+    lower bound or after about `STEPS` patterns."""
     rng = np.random.default_rng(seed)
     pool = [fill_best({}, wanted, capacity), *elites]
     while len(pool) < POPULATION:
-        pool.append(paired_first(wanted, rng, capacity))
-    floor = least_bins(wanted, capacity)
+        pool.append(matched_start(wanted, rng, capacity))
+    floor, spent = least_bins(wanted, capacity), 0
     for _ in range(GENERATIONS):
         pool.sort(key=lambda s: fitness(s, capacity))
-        if sum(pool[0].values()) <= floor:
+        if sum(pool[0].values()) <= floor or spent > STEPS:
             break
-        a, b = pool[0], pool[int(rng.integers(1, len(pool)))]
-        young = [cross(a, b, wanted, rng, capacity), cross(b, a, wanted, rng, capacity)]
+        i, j = sorted(rng.choice(len(pool), 2, replace=False).tolist())
+        young = [cross(pool[i], pool[j], wanted, rng, capacity), cross(pool[j], pool[i], wanted, rng, capacity)]
         young.append(mutate(young[0], wanted, rng, capacity))
-        pool = sorted(pool + young, key=lambda s: fitness(s, capacity))[:POPULATION]
+        spent += sum(len(s) for s in young) * 20
+        known = {fitness(s, capacity) for s in pool}
+        for s in young:  # of equal ones the older stays, so that the population keeps apart
+            if fitness(s, capacity) not in known:
+                known.add(fitness(s, capacity))
+                pool.append(s)
+        pool = sorted(pool, key=lambda s: fitness(s, capacity))[:POPULATION]
     return min(pool, key=lambda s: fitness(s, capacity))
 
 
@@ -213,12 +302,11 @@ def slots_of(solution: Solution) -> list[tuple[int, int, int, int, int, int]]:
             rank[length] = start + n * k
             at += length * k
         sequence += n
-    if len(out) > MOST_SLOTS:
-        raise ValueError(f"{len(out)} slots; at most {MOST_SLOTS} are sent to the executors")
     return out
 
 
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long, ids binary, part int, rank long"
+PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, sequence_id long, offset long"
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int | None = END_ID, with_ids: bool = True) -> DataFrame:
@@ -228,22 +316,49 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int | N
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = encoder(path, end_id).encode, TaskContext.get().partitionId()
-        seen = [0] * (capacity + 1)
-        for batch in batches:
-            cols: tuple[list, ...] = ([], [], [], [], [], [], [])
-            for doc, ids in zip(batch["doc_id"].to_pylist(), encode(batch["text"].to_pylist())):
-                n = len(ids) // 4
-                cuts = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
-                for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    own = ids[4 * a : 4 * b]
-                    for into, value in zip(cols, (doc, k, a, b - a, zlib.crc32(own), own if with_ids else None, seen[b - a])):
-                        into.append(value)
-                    seen[b - a] += 1
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64())
-            doc, piece, start, length, crc, own, rank = (pa.array(c, t) for c, t in zip(cols, kinds))
-            yield pa.RecordBatch.from_arrays([doc, piece, start, length, crc, own, pa.array([part] * len(doc), pa.int32()), rank], names=[f.split()[0] for f in PIECE.split(", ")])
-
-    return batched(docs.select("doc_id", "text")).mapInArrow(emit, PIECE)
+        seen = np.zeros(capacity + 1, dtype=np.int64)
+        for batch in together(batches):
+            found = encode(batch["text"])
+            sizes = np.array([len(x) for x in found], dtype=np.int64)
+            number = np.maximum(1, -(-sizes // capacity))
+            owner = np.repeat(np.arange(len(sizes)), number)
+            piece = np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)
+            first = sizes - (number - 1) * capacity
+            length = np.where(piece == 0, first[owner], capacity)
+            start = np.where(piece == 0, 0, first[owner] + (piece - 1) * capacity)
+            ids = memoryview(np.concatenate(found).astype("<u4").tobytes())
+            upto = np.concatenate([[0], np.cumsum(4 * length)]).tolist()
+            crcs = [zlib.crc32(ids[a:b]) for a, b in zip(upto, upto[1:])]
+            order = np.argsort(length, kind="stable")
+            opens = np.searchsorted(length[order], np.arange(capacity + 2))
+            rank = np.empty(len(length), dtype=np.int64)
+            rank[order] = np.arange(len(order)) - opens[length[order]] + seen[length[order]]
+            seen += np.diff(opens)
+            own = pa.array([ids[a:b] for a, b in zip(upto, upto[1:])] if with_ids else [None] * len(length), pa.binary())
+            cols = [batch["doc_id"].take(pa.array(owner)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length.astype(np.int32)), pa.array(crcs, pa.int64()), own, pa.array(np.full(len(length), part, np.int32)), pa.array(rank)]
+            yield pa.RecordBatch.from_arrays(cols, names=[f.split()[0] for f in PIECE.split(", ")])
+
+    return mapped(docs.select("doc_id", "text"), emit, PIECE)
+
+
+class Slots:
+    """Where the k-th piece of each length goes."""
+
+    def __init__(self, solution: Solution, nothing: int = 0):
+        rows = slots_of(solution)
+        if nothing:  # pieces without ids, each in a sequence of its own
+            rows.append((0, 0, nothing, 1, sum(solution.values()), 0))
+        rows.sort()
+        self.cols = np.array(rows, dtype=np.int64).reshape(-1, 6).T.copy()
+
+    def find(self, length: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sizes, begin, _, per_bin, sequence, offset = self.cols
+        base = int(max(begin.max(initial=0), k.max(initial=0))) + 1
+        if base * (int(sizes.max(initial=0)) + 1) >= 1 << 63:
+            raise OverflowError("more pieces than can be numbered")
+        at = np.searchsorted(sizes * base + begin, length * base + k, side="right") - 1
+        inside = k - begin[at]
+        return sequence[at] + inside // per_bin[at], offset[at] + inside % per_bin[at] * length
 
 
 def packed(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int | None = END_ID, with_ids: bool = True) -> DataFrame:
@@ -251,25 +366,32 @@ def packed(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int | N
 
     A null text is empty; it still has the end id.  A tokenizer without `end_id`
     gives an empty text a piece of length 0 at the start of a sequence of its own.
-    Null doc_ids and repeated rows are packed like any other."""
+    Null doc_ids and repeated rows are packed like any other; of two equal rows
+    either may stand in either place.  No documents give no rows."""
     spark = docs.sparkSession
     made = written(pieces(docs, path, capacity, end_id, with_ids), "pieces")
-    wanted = {r["length"]: r["n"] for r in made.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    counts = made.groupBy("part", "length").agg(F.count("*").alias("n"))
+    counts = written(counts, "piece-counts")
+    wanted = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     nothing = wanted.pop(0, 0)
-    solution = search(spark, wanted, capacity)
-    slots = slots_of(solution)
-    if nothing:
-        slots.append((0, 0, nothing, 1, sum(solution.values()), 0))
-    slots = spark.createDataFrame(slots, "length int, from_rank long, to_rank long, per_bin int, first_sequence long, first_offset long")
-    counts = made.groupBy("length", "part").agg(F.count("*").alias("n"))
+    slots = spark.sparkContext.broadcast(Slots(search(spark, wanted, capacity), nothing))
+    # pieces of a length in the tasks before, one row a task; a task made pieces of few lengths
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    ranked = made.join(bases, ["length", "part"]).withColumn("k", F.col("base") + F.col("rank")).drop("base", "rank", "part")
-    placed = ranked.join(F.broadcast(slots), "length").filter("k >= from_rank and k < to_rank").withColumn("in_slot", F.col("k") - F.col("from_rank"))
-    sequence = F.col("first_sequence") + F.floor(F.col("in_slot") / F.col("per_bin"))
-    offset = F.col("first_offset") + F.col("in_slot") % F.col("per_bin") * F.col("length")
-    columns = ["doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32"] + ["ids"] * with_ids
-    return placed.select(*columns, sequence.cast("long").alias("sequence_id"), offset.cast("long").alias("offset"))
+    bases = counts.select("part", F.struct("length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")).alias("b"))
+    bases = written(bases.groupBy("part").agg(F.array_sort(F.collect_list("b")).alias("bases")), "piece-bases")
+    few = bases.count() <= BROADCAST_PARTS
+    ranked = made.join(F.broadcast(bases) if few else bases, "part")
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            length = batch["length"].to_numpy().astype(np.int64)
+            k = batch["rank"].to_numpy() + batch["base"].to_numpy()
+            sequence, offset = slots.value.find(length, k)
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("doc_id", "piece", "start")), pa.array(length), batch["ids_crc32"], batch["ids"], pa.array(sequence), pa.array(offset)], names=[f.split()[0] for f in PLACED.split(", ")])
+
+    own = F.element_at(F.map_from_entries("bases"), F.col("length")).alias("base")
+    placed = mapped(ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "ids", "rank", own), place, PLACED, rows=1 << 16)
+    return placed if with_ids else placed.drop("ids")
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
