@@ -1,15 +1,20 @@
-"""Near copies of documents: five-word shingles with a Jaccard similarity of 0.8 or more.
-
-A text is the set of its shingles.  Equal sets fall together first.  Each distinct set
-has 192 MinHash values: six in a row make a band, and two sets that agree on one of the
-32 bands are compared by a sketch, the low bit of each of the 192 values.  Sets of
-similarity 0.8 miss all bands with probability 6e-5 and the sketch with less.  Every
-pair that passes is verified by the true similarity of its shingle sets; groups are the
-components of the verified pairs.
-
-A member of a band that is near to more than `MOST` others is verified against the
-`NEAREST` of them and some drawn at random, in each band anew, so a large cluster costs
-a fixed number of verifications a document.
+"""Near copies of documents by SimHash: five-word shingles, Jaccard similarity 0.8 or more.
+
+A text is the set of its shingles; equal sets fall together first, and each distinct
+set has a 64-bit SimHash.  Two sets of similarity 0.8 differ in about ten of its bits,
+so all pairs within `RADIUS` bits are asked for, found by the Gray-order index of
+`corpweave.llm.simhash`, and verified by the true similarity of their sets; groups are
+the components of the verified pairs.
+
+No block of bits is common to all pairs at so wide a radius, so what meets in one index
+is dealt by content instead: sets that agree on one of 32 bands of six least hashes
+(MinHash).  Sets of similarity 0.8 miss all bands with probability 6e-5, and the radius
+with about as much; the same sets always meet alike.
+
+A member is first verified against its `FIRST` nearest ones.  Groups in which some
+member has more, and those split for their size, are gone through again with what is by
+then connected left out: once with `MORE` of each member, and then with all.  So nothing
+is capped, and a group of copies costs a few verifications a member.
 """
 
 from __future__ import annotations
@@ -19,23 +24,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpweave.llm.common import batched
+from corpweave.llm.common import mapped
+from corpweave.llm.simhash import near_pairs
 from corpweave.operators.components import connected_components
 from corpweave.storage import written
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
+#: differing bits: 9.7 on average at similarity 0.8, 12 for the shortest texts, and four deviations
+RADIUS = 24
 BANDS, ROWS = 32, 6
-#: bits in which sketches of a pair may differ: 19.2 on average at similarity 0.8, and four deviations
-SKETCH_BITS = 36
-#: near members of a band that one member is verified against
-MOST = 6
-NEAREST = 4
-#: members compared at once
-BLOCK = 1024
+#: partners that a member is verified against in the first and in the second turn; the third has no limit
+FIRST, MORE = 4, 16
+#: members of a band in one index; larger bands are split, and in later turns compared by pairs of blocks
+BLOCK = 2048
 _AT_ONCE = 2048
 
 _RNG = np.random.default_rng(42)
@@ -74,6 +79,15 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
 
 
+def simhash_of(found: np.ndarray) -> int:
+    """The 64-bit SimHash of a set of shingles; zero if it is empty."""
+    ones = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(found), 1 << 16):
+        part = _mixed(found[at : at + (1 << 16)] * _ODD[2])
+        ones += np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(found), bitorder="little").tobytes(), "little")
+
+
 def minhashes(found: np.ndarray) -> np.ndarray:
     least = np.full(BANDS * ROWS, ~np.uint64(0))
     for at in range(0, len(found), _AT_ONCE):
@@ -103,97 +117,172 @@ def _set_id(found: np.ndarray) -> int:
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: dict = {}
     for batch in batches:
-        ids, bands, sketches = [], [], []
-        for text in batch["text"].to_pylist():
-            found = shingles(text, seen)
+        ids, bands, prints = [], [], []
+        for text in batch["text"]:
+            found = shingles(text.as_py(), seen)
             _words_seen(seen)
-            least = minhashes(found)
             ids.append(_set_id(found))
             keys = np.full(BANDS, 7, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)
-            for part in least.reshape(BANDS, ROWS).T:
+            for part in minhashes(found).reshape(BANDS, ROWS).T:
                 keys = _mixed(keys * _ODD[4] + part * _ODD[1])
             bands.append(keys)
-            sketches.append(np.packbits((_mixed(least) & np.uint64(1)).astype(np.uint8)).view(np.uint64))
-        columns = [batch["doc_id"], batch["row_key"], _signed(np.array(ids, dtype=np.uint64)), _lists(bands), _lists(sketches)]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row_key", "fp", "bands", "sketch"])
+            prints.append(simhash_of(found))
+        columns = [batch["doc_id"], batch["row_key"], *(_signed(np.array(x, dtype=np.uint64)) for x in (ids, prints)), _lists(bands)]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row_key", "fp", "simhash", "bands"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: dict = {}
     for batch in batches:
         found = []
-        for text in batch["text"].to_pylist():
-            found.append(shingles(text, seen))
+        for text in batch["text"]:
+            found.append(shingles(text.as_py(), seen))
             _words_seen(seen)
         yield pa.RecordBatch.from_arrays([_signed(np.array([_set_id(f) for f in found], dtype=np.uint64)), _lists(found)], names=["fp", "shingles"])
 
 
-def near_sketches(sketch: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j) of positions whose sketches (n x 3) are near; of a member with many near ones only some."""
-    left, right = [], []
-    for at in range(0, len(sketch), BLOCK):
-        part = sketch[at : at + BLOCK]
-        differ = np.zeros((len(part), len(part)), dtype=np.uint8)
-        for word in part.T:
-            differ += np.bitwise_count(word[:, None] ^ word[None, :])
-        np.fill_diagonal(differ, 255)
-        near = differ <= SKETCH_BITS
-        crowded = near.sum(axis=1) > MOST
-        for i in np.flatnonzero(crowded):
-            all_ = np.flatnonzero(near[i])
-            best = all_[np.argsort(differ[i, all_], kind="stable")[:NEAREST]]
-            near[i] = False
-            near[i, best] = True
-            near[i, rng.choice(all_, MOST - NEAREST, replace=False)] = True
-        a, b = np.nonzero(np.triu(near | near.T))
-        left.append(a + at)
-        right.append(b + at)
-    return np.concatenate(left), np.concatenate(right)
-
-
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        src, dst = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-        for members in batch["members"]:
-            flat = members.values
-            ids = flat.field("fp").to_numpy(zero_copy_only=False)
-            sketch = np.stack([flat.field(f"s{i}").to_numpy(zero_copy_only=False).view(np.uint64) for i in range(3)], axis=1)
-            rng = np.random.default_rng(int(ids.view(np.uint64)[0]))
-            order = rng.permutation(len(ids)) if len(ids) > BLOCK else np.arange(len(ids))
-            a, b = near_sketches(sketch[order], rng)
-            a, b = ids[order[a]], ids[order[b]]
-            src.append(np.minimum(a, b))
-            dst.append(np.maximum(a, b))
-        pairs = np.unique(np.stack([np.concatenate(src), np.concatenate(dst)], axis=1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["src", "dst"])
-
-
-def verified_pairs(docs: DataFrame, prints: DataFrame, least: float) -> DataFrame:
-    """(src, dst) of set ids whose shingle sets have a similarity of at least `least`."""
-    distinct = prints.groupBy("fp").agg(F.min_by(F.struct("row_key", "bands", "sketch"), "row_key").alias("one"))
-    distinct = written(distinct.select("fp", "one.*"), "near-sets")
-    member = F.struct("fp", *[F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(3)])
-    groups = distinct.select(F.explode("bands").alias("band"), member.alias("member")).groupBy("band").agg(F.collect_list("member").alias("members")).filter("size(members) > 1")
-    pairs = written(batched(groups.select("members")).mapInArrow(_candidates, "src long, dst long").distinct(), "near-pairs")
+def nearest(prints: np.ndarray, side: np.ndarray, part: np.ndarray, most: int | None, salt: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Pairs (i, j) of a group's positions within the radius whose `part` differs, of each
+    member the `most` nearest, and whether some were left out.  `side` is 0 or 1 where two
+    blocks are compared with each other, and -1 where one is with itself."""
+    left = right = far = np.zeros(0, dtype=np.int64)
+    more = False
+    for a, b, diff in near_pairs(np.zeros(len(prints), dtype=np.int64), prints, RADIUS):
+        keep = (part[a] != part[b]) & ((side[a] < 0) | (side[a] != side[b]))
+        a, b, diff = a[keep], b[keep], diff[keep].astype(np.int64)
+        if most is None:
+            left, right = np.concatenate([left, a]), np.concatenate([right, b])
+            continue
+        left, right, far = np.concatenate([left, a, b]), np.concatenate([right, b, a]), np.concatenate([far, diff, diff])
+        chance = _mixed((left ^ right ^ salt).astype(np.uint64) * _ODD[0] + right.astype(np.uint64))
+        order = np.lexsort((chance, far, left))
+        left, right, far = left[order], right[order], far[order]
+        opens = np.flatnonzero(np.concatenate([[True], left[1:] != left[:-1]])) if len(left) else left
+        rank = np.arange(len(left)) - np.repeat(opens, np.diff(np.append(opens, len(left))))
+        more = more or bool((rank >= most).any())
+        near = rank < most
+        left, right, far = left[near], right[near], far[near]
+    return left, right, more
+
+
+def _candidates(most: int | None):
+    """Per row (band, members, split): pairs to verify, and the band where there is more."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            src, dst, open_ = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], []
+            for band, members, split in zip(batch["band"].to_pylist(), batch["members"], batch["split"].to_pylist()):
+                flat = members.values
+                ids, prints, part, side = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("fp", "simhash", "class", "side"))
+                a, b, more = nearest(prints.view(np.uint64), side, part, most, band & 0xFFFF)
+                src.append(np.minimum(ids[a], ids[b]))
+                dst.append(np.maximum(ids[a], ids[b]))
+                if more or split:
+                    open_.append(band)
+            pairs = np.unique(np.stack([np.concatenate(src), np.concatenate(dst)], axis=1), axis=0)
+            none, n = pa.nulls(len(open_), pa.int64()), len(pairs)
+            cols = [pa.concat_arrays([pa.array(pairs[:, 0].copy()), none]), pa.concat_arrays([pa.array(pairs[:, 1].copy()), none]), pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(open_, pa.int64())])]
+            yield pa.RecordBatch.from_arrays(cols, names=["src", "dst", "band"])
+
+    return emit
+
+
+def _verified(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+    """The `pairs` (src, dst) of set ids whose sets have a similarity of at least `least`."""
     wanted = pairs.select(F.col("src").alias("fp")).union(pairs.select("dst")).distinct().join(distinct, "fp").select("row_key")
-    texts = docs.select(_row_key().alias("row_key"), "text").join(wanted, "row_key", "left_semi").dropDuplicates(["row_key"])
-    sets = written(batched(texts.select("text")).mapInArrow(_sets, "fp long, shingles array<long>"), "near-shingles")
+    texts = docs.select(row_key().alias("row_key"), "text").join(wanted, "row_key", "left_semi").dropDuplicates(["row_key"])
+    sets = written(mapped(texts.select("text"), _sets, "fp long, shingles array<long>"), "near-shingles")
     sides = pairs.join(sets.select(F.col("fp").alias("src"), F.col("shingles").alias("a")), "src").join(sets.select(F.col("fp").alias("dst"), F.col("shingles").alias("b")), "dst")
     both = F.size(F.array_intersect("a", "b"))
     return sides.filter(both >= least * (F.size("a") + F.size("b") - both) - 1e-9).select("src", "dst")
 
 
-def _row_key():
+def _groups(members: DataFrame, turn: int, block: int) -> DataFrame:
+    """(band, members, split) of bands with members of different classes: in the first
+    turn one row a block, later one a pair of blocks."""
+    sizes = members.groupBy("band").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
+    dealt = members.join(sizes.select("band", "n"), "band").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("fp", F.lit(turn)), F.col("blocks")).cast("int"))
+    if turn == 0:
+        dealt = dealt.withColumn("with", F.col("mine"))
+    else:
+        dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    side = F.when(F.col("mine") == F.col("with"), F.lit(-1)).otherwise((F.col("mine") > F.col("with")).cast("int"))
+    member = F.struct("fp", "simhash", "class", side.alias("side"))
+    groups = dealt.groupBy("band", F.least("mine", "with").alias("lo"), F.greatest("mine", "with").alias("hi")).agg(F.collect_list(member).alias("members"), (F.first("blocks") > 1).alias("split"))
+    return groups.select("band", "members", "split")
+
+
+def _first_groups(members: DataFrame, block: int) -> DataFrame:
+    """As `_groups` in the first turn, when every class has one member: bands are dealt in
+    blocks at once, as many as the count of a band's members asks for, and not joined."""
+    counts = members.groupBy("band").agg(F.count("*").alias("n"))
+    large = counts.filter(F.col("n") > block)
+    member = F.struct("fp", "simhash", F.col("fp").alias("class"), F.lit(-1).alias("side"))
+    if large.isEmpty():
+        found = members.groupBy("band").agg(F.collect_list(member).alias("members"))
+        return found.filter("size(members) > 1").select("band", "members", F.lit(False).alias("split"))
+    dealt = members.join(large, "band", "left").withColumn("blocks", F.coalesce(F.ceil(F.col("n") / block).cast("int"), F.lit(1)))
+    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("fp", F.lit(0)), F.col("blocks")).cast("int"))
+    found = dealt.groupBy("band", "mine").agg(F.collect_list(member).alias("members"), (F.first("blocks") > 1).alias("split"))
+    return found.filter("size(members) > 1").select("band", "members", "split")
+
+
+def classes_of(docs: DataFrame, prints: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
+    """(node, component) of set ids that have links."""
+    distinct = prints.groupBy("fp").agg(F.min_by(F.struct("row_key", "simhash", "bands"), "row_key").alias("one"))
+    distinct = written(distinct.select("fp", "one.*"), "near-sets")
+    members = distinct.select("fp", "simhash", F.explode("bands").alias("band"))
+    links = linked = tried = None
+    for turn, most in enumerate((FIRST, MORE, None)):
+        if turn == 0:
+            groups = _first_groups(members, block)
+        else:
+            members = members.join(open_, "band", "left_semi")
+            now = members.join(linked, members["fp"] == linked["node"], "left").select("band", "fp", "simhash", F.coalesce("component", "fp").alias("class"))
+            groups = _groups(written(now, "near-open"), turn, block)
+        found = written(mapped(groups, _candidates(most), "src long, dst long, band long"), "near-candidates")
+        pairs = found.filter("src is not null").select("src", "dst").distinct()
+        pairs = written(pairs if tried is None else pairs.join(tried, ["src", "dst"], "left_anti"), "near-pairs")
+        own = written(_verified(docs, distinct, pairs, least), "near-links")
+        links = own if links is None else links.union(own)
+        tried = pairs if tried is None else tried.union(pairs)
+        linked = written(connected_components(links), "near-classes")
+        open_ = found.filter("band is not null").select("band").distinct()
+        if most is None or open_.isEmpty():
+            return linked
+    return linked
+
+
+def row_key() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
 def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """(doc_id, component_id) of every row of `docs`; component_id is the least doc_id
-    of the group, nulls aside.  Texts without words are equal."""
-    rows = batched(docs.select("doc_id", "text", _row_key().alias("row_key")))
-    prints = written(rows.mapInArrow(_signatures, "doc_id long, row_key long, fp long, bands array<long>, sketch array<long>"), "near-prints")
-    linked = connected_components(written(verified_pairs(docs, prints, least), "near-links"))
-    firsts = prints.groupBy("fp").agg(F.min("doc_id").alias("first_doc"))
-    placed = firsts.join(linked, firsts["fp"] == linked["node"], "left").select("fp", "first_doc", F.coalesce("component", "fp").alias("class"))
-    groups = placed.groupBy("class").agg(F.min("first_doc").alias("component_id"))
-    return prints.select("doc_id", "fp").join(placed.join(groups, "class").select("fp", "component_id"), "fp").select("doc_id", "component_id")
+    """(doc_id, row_key, class) of every row of `docs`: rows of one class are near copies.
+    Texts without words are equal; rows are told apart by their doc_id and text, and by
+    nothing else."""
+    rows = docs.select(F.col("doc_id").cast("long"), "text", row_key().alias("row_key"))
+    prints = written(mapped(rows, _signatures, "doc_id long, row_key long, fp long, simhash long, bands array<long>"), "near-prints")
+    linked = classes_of(docs, prints, least)
+    placed = prints.join(linked, prints["fp"] == linked["node"], "left")
+    return placed.select("doc_id", "row_key", F.coalesce("component", "fp").alias("class"))
+
+
+def without_near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """One row of `docs` for each class of near copies, with all its columns: that of the
+    least doc_id (nulls last), of rows that share it the one with the least hash of text;
+    of rows equal in both, that with the least hash of all columns."""
+    rows = written(near_copies(docs, least), "near-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("first")
+    keep = written(rows.groupBy("class").agg(first).select(F.col("first.doc_id").alias("_keep_id"), F.col("first.row_key").alias("_keep_key")), "near-kept")
+    kept = docs.join(keep, (row_key() == F.col("_keep_key")) & docs["doc_id"].eqNullSafe(F.col("_keep_id")), "left_semi")
+    repeated = rows.groupBy("row_key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("row_key").alias("_key"))
+    if repeated.isEmpty():
+        return kept
+    keyed = kept.withColumn("_key", row_key())
+    single = keyed.join(repeated, "_key", "left_anti")
+    several = keyed.join(repeated, "_key", "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    several = several.groupBy("_key", "doc_id").agg(F.min_by(whole, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])).alias("_row")).select("_row.*")
+    return single.select(*docs.columns).unionByName(several.select(*docs.columns))

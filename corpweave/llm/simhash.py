@@ -8,10 +8,12 @@ walks pairs of nodes from the roots, adding up the differences of the bits that
 each level fixes, and drops a pair, with all below it, as soon as the sum exceeds
 the threshold.  Trees of all groups in a batch are walked together in numpy.
 
-Groups larger than `GROUP_CAP` take an exact way without pairs: two fingerprints
-differ in at most two bits exactly if a third one differs from each in at most
-one, so each is keyed by its 65 nearest values and keys are linked to their least
-member; a key has at most 65 members.
+A group of more than `GROUP_CAP` fingerprints is dealt again by the same rule: its
+members agree on one of three parts of the bits that are still free.  Each level
+leaves two thirds of these, so the last groups are small by necessity; every pair
+within the threshold meets in some group, and every group is searched by the index.
+
+`corpweave.llm.neardup` searches with the same index at a wider radius.
 """
 
 from __future__ import annotations
@@ -19,13 +21,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpweave.llm.common import batched
+from corpweave.llm.common import mapped
 from corpweave.operators.components import connected_components
 from corpweave.storage import written
 
@@ -36,7 +37,7 @@ THRESHOLD = 2
 BLOCKS = ((0, 21), (21, 21), (42, 22))
 #: members of a node of the tree
 FAN_OUT = 8
-#: distinct fingerprints that share a block value before the group takes the other way
+#: distinct fingerprints that share a block value before the group is dealt again
 GROUP_CAP = 2048
 #: node pairs examined at once
 FRONTIER = 1 << 20
@@ -65,11 +66,12 @@ def fingerprint(text: str | None, words_per_shingle: int = SHINGLE_WORDS) -> int
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp) of every row; fp holds the 64 bits in a signed long."""
 
-    @F.pandas_udf("long")
-    def simhash(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64))
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = np.array([fingerprint(t.as_py()) for t in batch["text"]], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
 
-    return batched(docs.select("doc_id", "text")).select("doc_id", simhash("text").alias("fp"))
+    return mapped(docs.select("doc_id", "text"), emit, "doc_id long, fp long")
 
 
 def gray_rank(fp: np.ndarray) -> np.ndarray:
@@ -99,16 +101,14 @@ def _levels(group: np.ndarray, fp: np.ndarray) -> list[dict]:
         levels.append({"group": g[first], "mask": mask, "bits": below["bits"][first] & mask, "first": first, "count": count})
 
 
-def hamming_links(group: np.ndarray, fp: np.ndarray, threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
-    """Links, as positions, that connect the same members as all pairs of a group
-    within the threshold do.  `group` must be in order; values are distinct within it."""
+def near_pairs(group: np.ndarray, fp: np.ndarray, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """All pairs of a group within the threshold, as positions (a, b) and differences, in
+    parts.  `group` must be in order; values need not be distinct."""
     order = np.lexsort((gray_rank(fp), group))
-    g, v = group[order], fp[order]
-    levels = _levels(g, v)
+    levels = _levels(group[order], fp[order])
     top = len(levels) - 1
     roots = np.arange(len(levels[top]["bits"]))
     frontier = [(top, roots, roots, np.zeros(len(roots), dtype=np.int64))]
-    parent = np.arange(len(g))
     while frontier:
         at, a, b, so_far = frontier.pop()
         if len(a) > FRONTIER and at:
@@ -116,7 +116,7 @@ def hamming_links(group: np.ndarray, fp: np.ndarray, threshold: int = THRESHOLD)
             frontier += [(at, a[:half], b[:half], so_far[:half]), (at, a[half:], b[half:], so_far[half:])]
             continue
         if at == 0:
-            _join(parent, a, b)
+            yield order[a], order[b], so_far
             continue
         node, child = levels[at], levels[at - 1]
         ca, cb = node["count"][a], node["count"][b]
@@ -131,8 +131,16 @@ def hamming_links(group: np.ndarray, fp: np.ndarray, threshold: int = THRESHOLD)
         diff = so_far[pair] + np.bitwise_count((child["bits"][i] ^ child["bits"][j]) & fresh)
         near = diff <= threshold
         frontier.append((at - 1, i[near], j[near], diff[near]))
-    linked = np.flatnonzero(parent != np.arange(len(g)))
-    return order[linked], order[parent[linked]]
+
+
+def hamming_links(group: np.ndarray, fp: np.ndarray, threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+    """Links, as positions, that connect the same members as all pairs of a group
+    within the threshold do.  `group` must be in order."""
+    parent = np.arange(len(group))
+    for a, b, _ in near_pairs(group, fp, threshold):
+        _join(parent, a, b)
+    linked = np.flatnonzero(parent != np.arange(len(group)))
+    return linked, parent[linked]
 
 
 def _join(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -160,23 +168,38 @@ def _group_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(fp[a].view(np.int64)), pa.array(fp[b].view(np.int64))], names=["src", "dst"])
 
 
-def _by_neighbours(fps: DataFrame) -> DataFrame:
-    flips = F.array(F.lit(0).cast("long"), *[F.shiftleft(F.lit(1).cast("long"), i) for i in range(64)])
-    keys = fps.select("fp", F.explode(flips).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("key"))
-    found = keys.groupBy("key").agg(F.min("fp").alias("dst"), F.collect_set("fp").alias("all")).filter("size(all) > 1")
-    return found.select(F.explode("all").alias("src"), "dst").filter("src <> dst").distinct()
+def _thirds(mask: int) -> list[int]:
+    """`mask` with each third of the bits that it leaves free, in order."""
+    free = [i for i in range(64) if not mask >> i & 1]
+    cut = [len(free) * k // 3 for k in range(4)]
+    return [mask | sum(1 << i for i in free[a:b]) for a, b in zip(cut, cut[1:])]
+
+
+def _as_long(mask: int) -> Column:
+    return F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("long")
 
 
 def link_fingerprints(distinct: DataFrame, cap: int = GROUP_CAP) -> DataFrame:
     """(src, dst) of distinct fingerprints `fp`: edges whose components are those of
     all pairs within the threshold."""
-    blocks = [F.lit(i << 22) + F.shiftrightunsigned("fp", low).bitwiseAND(F.lit((1 << width) - 1)) for i, (low, width) in enumerate(BLOCKS)]
-    keyed = distinct.select("fp", F.explode(F.array(*blocks)).alias("block"))
-    sizes = keyed.groupBy("block").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = keyed.join(sizes, "block")
-    groups = shared.filter(F.col("n") <= cap).groupBy("block").agg(F.collect_list("fp").alias("fps"))
-    crowded = shared.filter(F.col("n") > cap).select("fp").distinct()
-    return batched(groups.select("fps")).mapInArrow(_group_links, "src long, dst long").union(_by_neighbours(crowded))
+    masks = [((1 << width) - 1) << low for low, width in BLOCKS]
+    dealt = distinct.select("fp", F.explode(F.array(*map(_as_long, masks))).alias("mask"))
+    links = None
+    while True:
+        keyed = dealt.withColumn("bits", F.col("fp").bitwiseAND(F.col("mask")))
+        sizes = keyed.groupBy("mask", "bits").agg(F.count("*").alias("n")).filter("n > 1")
+        shared = keyed.join(sizes, ["mask", "bits"])
+        last = 64 - masks[0].bit_count() <= 2  # three bits or fewer are free: no group is large
+        groups = shared.filter(F.lit(last) | (F.col("n") <= cap)).groupBy("mask", "bits").agg(F.collect_list("fp").alias("fps"))
+        found = mapped(groups.select("fps"), _group_links, "src long, dst long")
+        links = found if links is None else links.union(found)
+        crowded = sizes.filter(F.col("n") > cap)
+        if last or crowded.isEmpty():
+            return links
+        parts = {m: _thirds(m) for m in masks}
+        under = F.create_map(*[x for m, own in parts.items() for x in (_as_long(m), F.array(*map(_as_long, own)))])
+        dealt = written(shared.filter(F.col("n") > cap).select("fp", F.explode(F.element_at(under, F.col("mask"))).alias("mask")), "simhash-crowded")
+        masks = [x for own in parts.values() for x in own]
 
 
 def components_of(prints: DataFrame, cap: int = GROUP_CAP) -> DataFrame:
