@@ -1,22 +1,24 @@
 """Operators over documents, against plain versions, on the difficult cases."""
 
 import hashlib
+import random
 import zlib
 from array import array
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from corpweave.llm import langid, mixing, packing, simhash, suffix, winnow
+from corpweave.llm import langid, mixing, packing, simhash, suffix, tokenize, winnow
 from corpweave.llm.idstore import PackedIndex, PerfectHash, op6_token_ids, pack_index
 from corpweave.llm.queries import QUERIES
-from corpweave.llm.tokenize import MemoEncoder
+from corpweave.llm.tokenize import Encoder
 from tests.llm.cases import WORDS, documents, frame, prose, stored
 
 DOCUMENT_QUERIES = sorted(n for n in QUERIES if n.split("_")[0] in ("op2", "op4", "op6", "op7", "op8", "op9", "op10"))
@@ -33,20 +35,40 @@ def test_empty_table(spark, tmp_path, name):
 
 
 # --- tokenizing -------------------------------------------------------------------
+_SIGNS = list("ab's.,!  \n\t\u00a0\u0085\u001c\u001d\u001e\u001fÀé İßΣ日🙂019_-½²Ⅷ\u0301") + ["<|endoftext|>", "<|startoftext|>", "<|", "\n\n", " ", " ", " "]
+_PLAIN = [Tokenizer.from_file(public_tokenizers.path(f)) for f in ("byte_bpe_50k.json", "word_bpe_49k.json")]
+_OWN = [Encoder(public_tokenizers.path(f), 2) for f in ("byte_bpe_50k.json", "word_bpe_49k.json")]
+
+
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.lists(st.sampled_from(list("ab's.,!  \n\t\u00a0\u0085\u001cÀé İßΣ日🙂019_-") + WORDS), max_size=60).map("".join), max_size=8))
-def test_memo_gives_the_library_s_ids(texts):
-    for file in ("byte_bpe_50k.json", "word_bpe_49k.json"):
-        memo = MemoEncoder(public_tokenizers.path(file), 2)
-        for _ in range(2):
-            got = memo.encode(texts)
-            want = [array("I", e.ids + [2]).tobytes() for e in memo.tokenizer.encode_batch(texts, add_special_tokens=False)]
-            assert got == want
+@given(st.lists(st.lists(st.sampled_from(_SIGNS + WORDS), max_size=60).map("".join), max_size=8))
+def test_ids_are_the_library_s(texts):
+    for plain, own in zip(_PLAIN, _OWN):
+        for given_ in (texts, [" ".join(t.split(" ")).strip() for t in texts]):
+            for _ in range(2):
+                got = [x.tolist() for x in own.encode(given_)]
+                assert got == [e.ids + [2] for e in plain.encode_batch(given_, add_special_tokens=False)]
+
+
+def test_kept_chunks_are_bounded(monkeypatch):
+    monkeypatch.setattr(tokenize, "KEPT", 2000)
+    for plain, file in zip(_PLAIN, ("byte_bpe_50k.json", "word_bpe_49k.json")):
+        own = Encoder(public_tokenizers.path(file), None)
+        for seed in range(12):
+            texts = [prose(seed, 80), prose(seed + 1, 30), "", None]
+            assert [x.tolist() for x in own.encode(texts)] == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+            assert own._chunks.nbytes + own._ids.nbytes <= 2000
+
+
+def test_batches_are_joined_by_bytes():
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(["ab"] * n + [None], pa.string()), "k": list(range(n + 1))}) for n in (3, 0, 50, 1)]
+    got = list(tokenize.together(iter(batches), size=20))
+    assert sum((b["k"].to_pylist() for b in got), []) == [k for b in batches for k in b["k"].to_pylist()]
+    assert all(b.num_rows <= 13 for b in got)
 
 
 def ids_of(file):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(file))
-    tokenizer.encode_special_tokens = True
     return lambda t: tokenizer.encode(t or "", add_special_tokens=False).ids + [2]
 
 
@@ -66,13 +88,27 @@ def test_op6(spark, sf):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def index_rows(keys):
+    n = len(keys)
+    return pa.table({"key": keys.view(np.int64), "doc_id": pa.array(range(n), pa.int64()), "copy": pa.array([0] * n, pa.int32()), "shard": pa.array(range(n), pa.int32()), "offset": pa.array(range(n), pa.int64()), "length": pa.array(range(1, n + 1), pa.int64())})
+
+
 def test_perfect_hash():
     keys = np.random.default_rng(0).integers(0, 1 << 63, 5000).astype(np.uint64)
     assert sorted(PerfectHash.of(keys).numbers(keys)) == list(range(5000))
-    held = PackedIndex(pack_index(keys, np.arange(5000, dtype=np.int32), np.arange(5000), np.arange(5000) + 1))
-    found, shard, offset, length = held.locate(keys)
+    rows = index_rows(keys)
+    held = PackedIndex(pack_index(rows))
+    found, shard, offset, length = held.locate(rows.combine_chunks().to_batches()[0])
     assert found.all() and (offset == np.arange(5000)).all() and (length == np.arange(1, 5001)).all()
-    assert held.locate(keys[:2000] ^ np.uint64(1 << 40))[0].sum() <= 2
+    others = index_rows(keys[:2000] ^ np.uint64(1 << 40)).to_batches()[0]
+    assert held.locate(others)[0].sum() <= 2
+
+
+def test_equal_hashes_are_told_apart():
+    keys = np.array([7, 7, 9, 7], dtype=np.uint64)
+    rows = index_rows(keys)
+    found, _, offset, _ = PackedIndex(pack_index(rows)).locate(rows.to_batches()[0])
+    assert found.all() and offset.tolist() == [0, 1, 2, 3]
 
 
 # --- packing ----------------------------------------------------------------------
@@ -104,7 +140,7 @@ def test_op2(spark, sf):
 @given(st.dictionaries(st.integers(1, 100), st.integers(1, 30), max_size=20), st.integers(0, 5))
 def test_solutions_hold_every_piece(wanted, seed):
     rng = np.random.default_rng(seed)
-    a, b = packing.fill_best({}, wanted, 100), packing.paired_first(wanted, rng, 100)
+    a, b = packing.fill_best({}, wanted, 100), packing.matched_start(wanted, rng, 100)
     for s in (a, b, packing.cross(a, b, wanted, rng, 100), packing.mutate(a, wanted, rng, 100), packing.evolve(wanted, [b], seed, 100)):
         held = Counter()
         for pattern, n in s.items():
@@ -115,6 +151,24 @@ def test_solutions_hold_every_piece(wanted, seed):
         assert sum(s.values()) >= packing.least_bins(wanted, 100)
 
 
+def triplets(n, seed):
+    """Pieces of n bins that three pieces fill exactly; best fit does badly on them."""
+    rng, out = random.Random(seed), Counter()
+    for _ in range(n):
+        a = rng.randint(380, 490)
+        b = rng.randint(251, 1000 - a - 251) if 1000 - a - 251 > 251 else 251
+        out.update((a, b, 1000 - a - b))
+    return dict(out)
+
+
+def test_search_beats_best_fit(spark):
+    wanted = triplets(60, 1)
+    plain = sum(packing.fill_best({}, wanted, 1000).values())
+    found = packing.search(spark, wanted, 1000)
+    assert sum(found.values()) <= 62 < plain
+    assert sum((Counter({x: n * p.count(x) for x in set(p)}) for p, n in found.items()), Counter()) == Counter(wanted)
+
+
 # --- winnowing --------------------------------------------------------------------
 def test_op4(spark, sf):
     rows = QUERIES["op4_winnowing"](spark, sf).collect()

@@ -36,9 +36,17 @@ def plain_groups(rows):
     return label
 
 
+def groups_of(found):
+    """The least doc_id of each class, by doc_id."""
+    least = {}
+    for r in found:
+        least[r["class"]] = min(least.get(r["class"], r.doc_id), r.doc_id)
+    return {r.doc_id: least[r["class"]] for r in found}
+
+
 def test_near_copies(spark):
     rows = near_rows()
-    got = {r.doc_id: r.component_id for r in neardup.near_copies(frame(spark, rows)).collect()}
+    got = groups_of(neardup.near_copies(frame(spark, rows)).collect())
     want = plain_groups(rows)
     assert [got[i] for i in range(len(rows))] == want
     assert 12 < len(set(want)) < len(rows)
@@ -46,12 +54,40 @@ def test_near_copies(spark):
 
 def test_stage_drops_edited_copies(spark):
     rows = near_rows()
-    docs = frame(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
-    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
-    assert kept == set(plain_groups(rows))
+    docs = frame(spark, rows)
+    got = corpus_pipeline.near_dedup(spark, docs, "")
+    assert {r.doc_id for r in got.collect()} == set(plain_groups(rows)) and got.columns == docs.columns
 
 
 def test_crowded_cluster(spark):
     base = prose(9, 150).split()
     rows = [(i, " ".join([*base[: i % 150], f"w{i}", *base[i % 150 + 1 :]]), "en", "s", 0) for i in range(1500)]
-    assert {r.component_id for r in neardup.near_copies(frame(spark, rows)).collect()} == {0}
+    assert set(groups_of(neardup.near_copies(frame(spark, rows)).collect()).values()) == {0}
+
+
+def test_few_partners_and_split_bands_lose_nothing(spark, monkeypatch):
+    rows = near_rows()
+    rng = random.Random(8)
+    base = prose(800, 40).split()
+    for i in range(80):  # all within the radius of each other, and not all similar
+        words = list(base)
+        for _ in range(1 + i % 3):
+            words[rng.randrange(40)] = f"y{rng.randrange(30)}"
+        rows.append((len(rows), " ".join(words), "en", "s", 0))
+    docs = frame(spark, rows)
+    monkeypatch.setattr(neardup, "FIRST", 1)
+    monkeypatch.setattr(neardup, "MORE", 2)
+    prints = neardup.written(neardup.mapped(docs.select("doc_id", "text", neardup.row_key().alias("row_key")), neardup._signatures, "doc_id long, row_key long, fp long, simhash long, bands array<long>"), "t")
+    linked = {r.node: r.component for r in neardup.classes_of(docs, prints, 0.8, block=16).collect()}
+    class_ = {r.doc_id: linked.get(r.fp, r.fp) for r in prints.collect()}
+    least = {}
+    for d, c in sorted(class_.items()):
+        least.setdefault(c, d)
+    assert [least[class_[i]] for i in range(len(rows))] == plain_groups(rows)
+
+
+def test_rows_of_one_id_and_of_none(spark):
+    one, other = prose(1, 40), prose(2, 40)
+    rows = [(8, one, "en", "s", 0), (8, other, "en", "s", 1), (None, other, "en", "s", 2), (None, prose(3, 40), "en", "s", 3), (None, None, "en", "s", 4), (9, "", "en", "s", 5), (8, one, "en", "s", 0)]
+    got = sorted((repr(r.doc_id), r.text or "") for r in corpus_pipeline.near_dedup(spark, frame(spark, rows), "").collect())
+    assert got == sorted([("8", one), ("8", other), ("None", prose(3, 40)), ("9", "")])

@@ -4,10 +4,12 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from corpweave.llm import lattice, suffix, warc
+from corpweave.llm import lattice, mixing, suffix, warc
 from corpweave.llm.queries import QUERIES
 from corpweave.llm.render import render
 from tests.llm.cases import documents, frame, prose, stored
@@ -156,22 +158,37 @@ def test_lattice_points():
 
 # --- pipeline ---------------------------------------------------------------------
 def test_stages(spark, tmp_path):
-    docs = frame(spark).select("doc_id", "text", "lang", "source", "n_chars")
+    docs = frame(spark).selectExpr("*", "'l' as language", "3 as copy", "4 as times", "true as no_text", "'k' as key", "5 as shard", "'c' as class")
     by_name = dict(corpus_pipeline.STAGES)
     kept = by_name["language_id"](spark, docs, "")
-    assert {r.doc_id for r in kept.collect()} == {r[0] for r in documents()} - {4, 5, 6, 7}
+    assert {r.doc_id for r in kept.collect()} == {r[0] for r in documents()} - {4, 5, 6, 7} and kept.columns == docs.columns
     near = by_name["near_dedup"](spark, kept.persist(), "").persist()
-    ids = [r.doc_id for r in near.collect()]
-    assert 1 in ids and 2 not in ids and Counter(i for i in ids if i is not None).most_common(1)[0][1] == 1
     rows = [(r.doc_id, r.text) for r in near.collect()]
+    assert near.columns == docs.columns and len(set(rows)) == len(rows)
+    ids = [d for d, _ in rows]
+    assert 1 in ids and 2 not in ids and 3 not in ids and ids.count(8) == 2 and ids.count(None) == 1
     cut = by_name["passage_dedup"](spark, near, "").persist()
     lengths = Counter((d, n - gone) for d, n, gone, *_ in suffix_rows(rows))
     assert Counter((r.doc_id, len(r.text.encode())) for r in cut.collect() if r.doc_id != 12) == Counter({k: v for k, v in lengths.items() if k[0] != 12})
+    assert all(r.n_chars == len(r.text) for r in cut.collect() if r.doc_id not in (8, None))
     assert cut.columns == docs.columns
-    mix = by_name["mixing"](spark, cut, "")
-    assert mix.columns == docs.columns and set(r.doc_id for r in mix.collect()) <= set(ids)
-    packed = by_name["packing"](spark, mix.persist(), "")
-    assert packed.groupBy("sequence_id").agg({"length": "sum"}).filter("`sum(length)` > 1024").count() == 0
+    mix = by_name["mixing"](spark, cut, "").persist()
+    assert mix.columns == docs.columns
+    planned = Counter((r.doc_id, r.size) for r in mixing.mixed(cut).collect())
+    assert Counter((r.doc_id, len((r.text or "").encode().split())) for r in mix.collect()) == planned
+    packed = by_name["packing"](spark, mix, "").collect()
+    encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode
+    whole = Counter()
+    for r in mix.collect():
+        whole.update([(r.doc_id, len(encode(r.text, add_special_tokens=False).ids) + 1)])
+    assert sum(r.length for r in packed) == sum(n * k for (_, n), k in whole.items())
+    bins = {}
+    for r in packed:
+        assert len(r.ids) == 4 * r.length
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for spans in bins.values():
+        ends = [a + n for a, n in sorted(spans)]
+        assert [a for a, _ in sorted(spans)] == [0, *ends[:-1]] and ends[-1] <= 1024
 
 
 def suffix_rows(rows):
