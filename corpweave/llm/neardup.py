@@ -44,8 +44,8 @@ BLOCK = 2048
 _AT_ONCE = 2048
 
 _RNG = np.random.default_rng(42)
-_MULTIPLY = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+_MULTIPLY = _RNG.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_ADD = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD))
 
 
@@ -89,9 +89,9 @@ def simhash_of(found: np.ndarray) -> int:
 
 
 def minhashes(found: np.ndarray) -> np.ndarray:
-    least = np.full(BANDS * ROWS, ~np.uint64(0))
+    least = np.full(BANDS * ROWS, ~np.uint32(0))
     for at in range(0, len(found), _AT_ONCE):
-        part = found[at : at + _AT_ONCE]
+        part = (found[at : at + _AT_ONCE] >> np.uint64(32)).astype(np.uint32)
         least = np.minimum(least, (_MULTIPLY[:, None] * part + _ADD[:, None]).min(axis=1))
     return least
 
@@ -123,7 +123,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _words_seen(seen)
             ids.append(_set_id(found))
             keys = np.full(BANDS, 7, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)
-            for part in minhashes(found).reshape(BANDS, ROWS).T:
+            for part in minhashes(found).astype(np.uint64).reshape(BANDS, ROWS).T:
                 keys = _mixed(keys * _ODD[4] + part * _ODD[1])
             bands.append(keys)
             prints.append(simhash_of(found))
@@ -166,23 +166,29 @@ def nearest(prints: np.ndarray, side: np.ndarray, part: np.ndarray, most: int |
 
 
 def _candidates(most: int | None):
-    """Per row (band, members, split): pairs to verify, and the band where there is more."""
+    """Per row (band, members, split): pairs to verify, as (src, dst), and where there is
+    more, the members, as (fp, simhash, band) in the same columns."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nothing = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            src, dst, open_ = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], []
+            src, dst, again = [nothing], [nothing], [(nothing, nothing, nothing)]
             for band, members, split in zip(batch["band"].to_pylist(), batch["members"], batch["split"].to_pylist()):
                 flat = members.values
-                ids, prints, part, side = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("fp", "simhash", "class", "side"))
-                a, b, more = nearest(prints.view(np.uint64), side, part, most, band & 0xFFFF)
+                held = {f.name: flat.field(f.name).to_numpy(zero_copy_only=False) for f in flat.type}
+                ids, prints = held["fp"], held["simhash"]
+                # in the first turn each is a class of its own, and no block meets another
+                side = held.get("side", np.full(len(ids), -1))
+                a, b, more = nearest(prints.view(np.uint64), side, held.get("class", ids), most, band & 0xFFFF)
                 src.append(np.minimum(ids[a], ids[b]))
                 dst.append(np.maximum(ids[a], ids[b]))
                 if more or split:
-                    open_.append(band)
+                    again.append((ids, prints, np.full(len(ids), band)))
             pairs = np.unique(np.stack([np.concatenate(src), np.concatenate(dst)], axis=1), axis=0)
-            none, n = pa.nulls(len(open_), pa.int64()), len(pairs)
-            cols = [pa.concat_arrays([pa.array(pairs[:, 0].copy()), none]), pa.concat_arrays([pa.array(pairs[:, 1].copy()), none]), pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(open_, pa.int64())])]
-            yield pa.RecordBatch.from_arrays(cols, names=["src", "dst", "band"])
+            fp, simhash, band = (np.concatenate(x) for x in zip(*again))
+            cols = [np.concatenate([pairs[:, 0], fp]), np.concatenate([pairs[:, 1], simhash])]
+            bands = pa.concat_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(band, pa.int64())])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, cols), bands], names=["src", "dst", "band"])
 
     return emit
 
@@ -198,36 +204,22 @@ def _verified(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, least: flo
 
 
 def _groups(members: DataFrame, turn: int, block: int) -> DataFrame:
-    """(band, members, split) of bands with members of different classes: in the first
-    turn one row a block, later one a pair of blocks."""
-    sizes = members.groupBy("band").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
-    dealt = members.join(sizes.select("band", "n"), "band").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
-    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("fp", F.lit(turn)), F.col("blocks")).cast("int"))
+    """(band, members, split) of bands with more than one member, and in later turns with
+    members of different classes: in the first turn one row a block, then one a pair of blocks."""
     if turn == 0:
-        dealt = dealt.withColumn("with", F.col("mine"))
+        sizes = members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+        member = F.struct("fp", "simhash")
     else:
-        dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    side = F.when(F.col("mine") == F.col("with"), F.lit(-1)).otherwise((F.col("mine") > F.col("with")).cast("int"))
-    member = F.struct("fp", "simhash", "class", side.alias("side"))
+        sizes = members.groupBy("band").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high").select("band", "n")
+        side = F.when(F.col("mine") == F.col("with"), F.lit(-1)).otherwise((F.col("mine") > F.col("with")).cast("int"))
+        member = F.struct("fp", "simhash", "class", side.alias("side"))
+    dealt = members.join(sizes, "band").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("fp", F.lit(turn)), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("with", F.col("mine") if turn == 0 else F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     groups = dealt.groupBy("band", F.least("mine", "with").alias("lo"), F.greatest("mine", "with").alias("hi")).agg(F.collect_list(member).alias("members"), (F.first("blocks") > 1).alias("split"))
     return groups.select("band", "members", "split")
 
 
-def _first_groups(members: DataFrame, block: int) -> DataFrame:
-    """As `_groups` in the first turn, when every class has one member: bands are dealt in
-    blocks at once, as many as the count of a band's members asks for, and not joined."""
-    counts = members.groupBy("band").agg(F.count("*").alias("n"))
-    large = counts.filter(F.col("n") > block)
-    member = F.struct("fp", "simhash", F.col("fp").alias("class"), F.lit(-1).alias("side"))
-    if large.isEmpty():
-        found = members.groupBy("band").agg(F.collect_list(member).alias("members"))
-        return found.filter("size(members) > 1").select("band", "members", F.lit(False).alias("split"))
-    dealt = members.join(large, "band", "left").withColumn("blocks", F.coalesce(F.ceil(F.col("n") / block).cast("int"), F.lit(1)))
-    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("fp", F.lit(0)), F.col("blocks")).cast("int"))
-    found = dealt.groupBy("band", "mine").agg(F.collect_list(member).alias("members"), (F.first("blocks") > 1).alias("split"))
-    return found.filter("size(members) > 1").select("band", "members", "split")
-
-
 def classes_of(docs: DataFrame, prints: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
     """(node, component) of set ids that have links."""
     distinct = prints.groupBy("fp").agg(F.min_by(F.struct("row_key", "simhash", "bands"), "row_key").alias("one"))
@@ -235,22 +227,17 @@ def classes_of(docs: DataFrame, prints: DataFrame, least: float, block: int = BL
     members = distinct.select("fp", "simhash", F.explode("bands").alias("band"))
     links = linked = tried = None
     for turn, most in enumerate((FIRST, MORE, None)):
-        if turn == 0:
-            groups = _first_groups(members, block)
-        else:
-            members = members.join(open_, "band", "left_semi")
-            now = members.join(linked, members["fp"] == linked["node"], "left").select("band", "fp", "simhash", F.coalesce("component", "fp").alias("class"))
-            groups = _groups(written(now, "near-open"), turn, block)
-        found = written(mapped(groups, _candidates(most), "src long, dst long, band long"), "near-candidates")
-        pairs = found.filter("src is not null").select("src", "dst").distinct()
+        found = written(mapped(_groups(members, turn, block), _candidates(most), "src long, dst long, band long"), "near-candidates")
+        pairs = found.filter("band is null").select("src", "dst").distinct()
         pairs = written(pairs if tried is None else pairs.join(tried, ["src", "dst"], "left_anti"), "near-pairs")
         own = written(_verified(docs, distinct, pairs, least), "near-links")
         links = own if links is None else links.union(own)
         tried = pairs if tried is None else tried.union(pairs)
         linked = written(connected_components(links), "near-classes")
-        open_ = found.filter("band is not null").select("band").distinct()
+        open_ = found.filter("band is not null").select(F.col("src").alias("fp"), F.col("dst").alias("simhash"), "band").distinct()
         if most is None or open_.isEmpty():
-            return linked
+            break
+        members = written(open_.join(linked, open_["fp"] == linked["node"], "left").select("band", "fp", "simhash", F.coalesce("component", "fp").alias("class")), "near-open")
     return linked
 
 
