@@ -23,11 +23,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _libc():
+    return ctypes.CDLL(None)
+
+
+def spare() -> None:
+    """Lets the C library map large blocks one by one, so that they go back when they are freed."""
+    mallopt = getattr(_libc(), "mallopt", None)
+    if mallopt is not None:
+        mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+
+
 def release() -> None:
     """Gives back what a worker's last task held; workers are used again."""
     gc.collect()
     pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    trim = getattr(_libc(), "malloc_trim", None)
     if trim is not None:
         trim(0)
 
@@ -50,6 +61,7 @@ def mapped(df: DataFrame, emit: Emit, schema: str | StructType, rows: int = BATC
     gives its memory back."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spare()
         try:
             yield from emit(_in_slices(batches, rows))
         finally:

@@ -22,11 +22,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: bytes of text that are encoded together, about
-TOGETHER = 12 << 20
+TOGETHER = 4 << 20
 #: distinct chunks in one call of the library
 JOIN = 256
 #: bytes of chunks and ids that a worker keeps, about; beyond them, what was not asked for again goes
-KEPT = 48 << 20
+KEPT = 16 << 20
 #: white space but for the space and the line end; the separators 1C-1F are white space for some libraries only
 _OTHER_SPACES = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))
 _UNEVEN = rf"\A[ \n]|[ \n]\z|[ \n][ \n]|[{_OTHER_SPACES}]|\A\z"
@@ -108,7 +108,8 @@ class Encoder:
         at = chunks.indices.to_numpy(zero_copy_only=False)
         n = count[at]
         upto = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
-        ids = values[np.arange(upto[-1]) + np.repeat(first[at] - upto[:-1], n)]
+        step = np.int32 if max(upto[-1], len(values)) < 1 << 31 else np.int64
+        ids = values[np.arange(upto[-1], dtype=step) + np.repeat((first[at] - upto[:-1]).astype(step), n)]
         edges = upto[opens]
         if self._spaced:  # what begins each text is the id of the line end that was put there
             return [self._ended(ids[a + 1 : b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
