@@ -11,10 +11,12 @@ is dealt by content instead: sets that agree on one of 32 bands of six least has
 (MinHash).  Sets of similarity 0.8 miss all bands with probability 6e-5, and the radius
 with about as much; the same sets always meet alike.
 
-A member is first verified against its `FIRST` nearest ones.  Groups in which some
-member has more, and those split for their size, are gone through again with what is by
-then connected left out: once with `MORE` of each member, and then with all.  So nothing
-is capped, and a group of copies costs a few verifications a member.
+In a first turn a member is verified against its `FIRST` nearest ones.  Bands in which
+some member has more, and those split for their size, are gone through again where more
+than one class is left: their members meet with their sets, those outside the largest
+class with all, and what the index finds between classes is verified on the spot.  So
+nothing is capped, pairs are never listed, and a group of copies costs a few
+verifications a member.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpweave.llm.common import mapped
-from corpweave.llm.simhash import near_pairs
+from corpweave.llm.simhash import _join, near_pairs
 from corpweave.operators.components import connected_components
 from corpweave.storage import written
 
@@ -37,10 +39,12 @@ SIMILARITY = 0.8
 #: differing bits: 9.7 on average at similarity 0.8, 12 for the shortest texts, and four deviations
 RADIUS = 24
 BANDS, ROWS = 32, 6
-#: partners that a member is verified against in the first and in the second turn; the third has no limit
-FIRST, MORE = 4, 16
-#: members of a band in one index; larger bands are split, and in later turns compared by pairs of blocks
+#: partners that a member is verified against in the first turn; the second has no limit
+FIRST = 4
+#: members of a band in one index; larger bands are split, and in the second turn compared by pairs of blocks
 BLOCK = 2048
+#: pairs verified at once, and shared shingles looked at at once
+PAIRS, SHARED = 4096, 1 << 16
 _AT_ONCE = 2048
 
 _RNG = np.random.default_rng(42)
@@ -141,18 +145,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([_signed(np.array([_set_id(f) for f in found], dtype=np.uint64)), _lists(found)], names=["fp", "shingles"])
 
 
-def nearest(prints: np.ndarray, side: np.ndarray, part: np.ndarray, most: int | None, salt: int) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Pairs (i, j) of a group's positions within the radius whose `part` differs, of each
-    member the `most` nearest, and whether some were left out.  `side` is 0 or 1 where two
-    blocks are compared with each other, and -1 where one is with itself."""
+def nearest(prints: np.ndarray, most: int, salt: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Pairs (i, j) of a group's positions within the radius, of each member the `most`
+    nearest, and whether some were left out."""
     left = right = far = np.zeros(0, dtype=np.int64)
     more = False
     for a, b, diff in near_pairs(np.zeros(len(prints), dtype=np.int64), prints, RADIUS):
-        keep = (part[a] != part[b]) & ((side[a] < 0) | (side[a] != side[b]))
-        a, b, diff = a[keep], b[keep], diff[keep].astype(np.int64)
-        if most is None:
-            left, right = np.concatenate([left, a]), np.concatenate([right, b])
-            continue
         left, right, far = np.concatenate([left, a, b]), np.concatenate([right, b, a]), np.concatenate([far, diff, diff])
         chance = _mixed((left ^ right ^ salt).astype(np.uint64) * _ODD[0] + right.astype(np.uint64))
         order = np.lexsort((chance, far, left))
@@ -165,59 +163,120 @@ def nearest(prints: np.ndarray, side: np.ndarray, part: np.ndarray, most: int |
     return left, right, more
 
 
-def _candidates(most: int | None):
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per row (band, members, split): pairs to verify, as (src, dst), and where there is
     more, the members, as (fp, simhash, band) in the same columns."""
+    nothing = np.zeros(0, dtype=np.int64)
+    for batch in batches:
+        src, dst, again = [nothing], [nothing], [(nothing, nothing, nothing)]
+        for band, members, split in zip(batch["band"].to_pylist(), batch["members"], batch["split"].to_pylist()):
+            ids, prints = (members.values.field(c).to_numpy(zero_copy_only=False) for c in ("fp", "simhash"))
+            a, b, more = nearest(prints.view(np.uint64), FIRST, band & 0xFFFF)
+            src.append(np.minimum(ids[a], ids[b]))
+            dst.append(np.maximum(ids[a], ids[b]))
+            if more or split:
+                again.append((ids, prints, np.full(len(ids), band)))
+        pairs = np.unique(np.stack([np.concatenate(src), np.concatenate(dst)], axis=1), axis=0)
+        fp, simhash, band = (np.concatenate(x) for x in zip(*again))
+        cols = [np.concatenate([pairs[:, 0], fp]), np.concatenate([pairs[:, 1], simhash])]
+        bands = pa.concat_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(band, pa.int64())])
+        yield pa.RecordBatch.from_arrays([*map(pa.array, cols), bands], names=["src", "dst", "band"])
+
+
+def class_links(prints: np.ndarray, class_: np.ndarray, asking: np.ndarray, sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links between classes of a group, as classes: two are linked if members of them are
+    within the radius and have a similarity of at least `least`; one of each pair of
+    members is `asking`.  Links that others imply are left out."""
+    names, of = np.unique(class_, return_inverse=True)
+    parent = np.arange(len(names))
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, column, times = np.unique(np.concatenate([*sets, np.zeros(0, dtype=np.int64)]), return_inverse=True, return_counts=True)
+    shared = times[column] > 1  # what only one member has is in no intersection
+    owner = owner[shared]
+    column = np.unique(column[shared], return_inverse=True)[1] if shared.any() else owner
+    width = int(column.max(initial=-1)) + 1
+
+    def rows(low: int) -> np.ndarray:
+        own = (column >= low) & (column < low + SHARED)
+        bits = np.zeros((len(sets), -(-min(SHARED, width - low) // 64) * 64), dtype=bool)
+        bits[owner[own], column[own] - low] = True
+        return np.packbits(bits, axis=1).view(np.uint64)
+
+    whole = rows(0) if width <= SHARED else None  # longer ones are made again for each part
+    for a, b, _ in near_pairs(np.zeros(len(prints), dtype=np.int64), prints, RADIUS):
+        close = (asking[a] | asking[b]) & (np.minimum(sizes[a], sizes[b]) >= least * np.maximum(sizes[a], sizes[b]) - 1e-9)
+        a, b = a[close], b[close]
+        apart = parent[of[a]] != parent[of[b]]
+        a, b = a[apart], b[apart]
+        both = np.zeros(len(a), dtype=np.int64)
+        for low in range(0, width, SHARED):
+            if not len(a):
+                break
+            part = whole if whole is not None else rows(low)
+            for at in range(0, len(a), PAIRS):
+                both[at : at + PAIRS] += np.bitwise_count(part[a[at : at + PAIRS]] & part[b[at : at + PAIRS]]).sum(axis=1, dtype=np.int64)
+        alike = both >= least * (sizes[a] + sizes[b] - both) - 1e-9
+        _join(parent, of[a[alike]], of[b[alike]])
+    moved = np.flatnonzero(parent != np.arange(len(names)))
+    return names[moved], names[parent[moved]]
+
+
+def _between(least: float):
+    """Links of `class_links`, of rows (members)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nothing = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            src, dst, again = [nothing], [nothing], [(nothing, nothing, nothing)]
-            for band, members, split in zip(batch["band"].to_pylist(), batch["members"], batch["split"].to_pylist()):
+            found = [(np.zeros(0, dtype=np.int64),) * 2]
+            for members in batch["members"]:
                 flat = members.values
-                held = {f.name: flat.field(f.name).to_numpy(zero_copy_only=False) for f in flat.type}
-                ids, prints = held["fp"], held["simhash"]
-                # in the first turn each is a class of its own, and no block meets another
-                side = held.get("side", np.full(len(ids), -1))
-                a, b, more = nearest(prints.view(np.uint64), side, held.get("class", ids), most, band & 0xFFFF)
-                src.append(np.minimum(ids[a], ids[b]))
-                dst.append(np.maximum(ids[a], ids[b]))
-                if more or split:
-                    again.append((ids, prints, np.full(len(ids), band)))
-            pairs = np.unique(np.stack([np.concatenate(src), np.concatenate(dst)], axis=1), axis=0)
-            fp, simhash, band = (np.concatenate(x) for x in zip(*again))
-            cols = [np.concatenate([pairs[:, 0], fp]), np.concatenate([pairs[:, 1], simhash])]
-            bands = pa.concat_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(band, pa.int64())])
-            yield pa.RecordBatch.from_arrays([*map(pa.array, cols), bands], names=["src", "dst", "band"])
+                prints, class_, asking = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("simhash", "class", "asking"))
+                sets = [x.values.to_numpy() for x in flat.field("shingles")]
+                found.append(class_links(prints.view(np.uint64), class_, asking, sets, least))
+            src, dst = (np.concatenate(x) for x in zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.array(src), pa.array(dst)], names=["src", "dst"])
 
     return emit
 
 
-def _verified(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+def _sets_of(docs: DataFrame, distinct: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(fp, shingles) of the set ids in `wanted` (fp)."""
+    keys = wanted.join(distinct, "fp").select("row_key")
+    texts = docs.select(row_key().alias("row_key"), "text").join(keys, "row_key", "left_semi").dropDuplicates(["row_key"])
+    return written(mapped(texts.select("text"), _sets, "fp long, shingles array<long>"), "near-shingles")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The `pairs` (src, dst) of set ids whose sets have a similarity of at least `least`."""
-    wanted = pairs.select(F.col("src").alias("fp")).union(pairs.select("dst")).distinct().join(distinct, "fp").select("row_key")
-    texts = docs.select(row_key().alias("row_key"), "text").join(wanted, "row_key", "left_semi").dropDuplicates(["row_key"])
-    sets = written(mapped(texts.select("text"), _sets, "fp long, shingles array<long>"), "near-shingles")
     sides = pairs.join(sets.select(F.col("fp").alias("src"), F.col("shingles").alias("a")), "src").join(sets.select(F.col("fp").alias("dst"), F.col("shingles").alias("b")), "dst")
     both = F.size(F.array_intersect("a", "b"))
     return sides.filter(both >= least * (F.size("a") + F.size("b") - both) - 1e-9).select("src", "dst")
 
 
-def _groups(members: DataFrame, turn: int, block: int) -> DataFrame:
-    """(band, members, split) of bands with more than one member, and in later turns with
-    members of different classes: in the first turn one row a block, then one a pair of blocks."""
-    if turn == 0:
-        sizes = members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
-        member = F.struct("fp", "simhash")
-    else:
-        sizes = members.groupBy("band").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high").select("band", "n")
-        side = F.when(F.col("mine") == F.col("with"), F.lit(-1)).otherwise((F.col("mine") > F.col("with")).cast("int"))
-        member = F.struct("fp", "simhash", "class", side.alias("side"))
+def _first_groups(members: DataFrame, block: int) -> DataFrame:
+    """(band, members, split) of bands with more than one member, a row a block."""
+    sizes = members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     dealt = members.join(sizes, "band").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
-    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("fp", F.lit(turn)), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("with", F.col("mine") if turn == 0 else F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    groups = dealt.groupBy("band", F.least("mine", "with").alias("lo"), F.greatest("mine", "with").alias("hi")).agg(F.collect_list(member).alias("members"), (F.first("blocks") > 1).alias("split"))
-    return groups.select("band", "members", "split")
+    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("blocks")))
+    return dealt.groupBy("band", "mine").agg(F.collect_list(F.struct("fp", "simhash")).alias("members"), (F.first("blocks") > 1).alias("split"))
+
+
+def _later_groups(members: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    """(members) of bands (band, fp, simhash, class) with more than one class.  Members
+    outside the largest class ask; a band of more than `block` members is dealt so that
+    each block that asks meets each block of all."""
+    sizes = members.groupBy("band", "class").agg(F.count("*").alias("n")).groupBy("band").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("class", F.struct("n", "class")).alias("main")).filter("n > most")
+    dealt = members.join(sizes, "band").withColumn("asking", F.col("class") != F.col("main"))
+    of = lambda n: F.ceil(n / block).cast("int")
+    hash_ = F.xxhash64("fp", F.lit(1))
+    place = lambda i, j, asking: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), asking.alias("asking"))
+    asks, all_ = of(F.col("n") - F.col("most")), of(F.col("n"))
+    left = F.when(F.col("asking"), F.transform(F.sequence(F.lit(0), all_ - 1), lambda j: place(F.pmod(hash_, asks), j, F.lit(True)))).otherwise(F.array().cast("array<struct<i:int,j:int,asking:boolean>>"))
+    right = F.transform(F.sequence(F.lit(0), asks - 1), lambda i: place(i, F.pmod(hash_, all_), F.lit(False)))
+    one = F.array(place(F.lit(0), F.lit(0), F.col("asking")))
+    dealt = dealt.select("band", "fp", "simhash", "class", F.explode(F.when(F.col("n") <= block, one).otherwise(F.concat(left, right))).alias("at"))
+    member = F.struct("simhash", "class", "at.asking", "shingles")
+    return dealt.join(sets, "fp").groupBy("band", "at.i", "at.j").agg(F.collect_list(member).alias("members")).select("members")
 
 
 def classes_of(docs: DataFrame, prints: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
@@ -225,20 +284,19 @@ def classes_of(docs: DataFrame, prints: DataFrame, least: float, block: int = BL
     distinct = prints.groupBy("fp").agg(F.min_by(F.struct("row_key", "simhash", "bands"), "row_key").alias("one"))
     distinct = written(distinct.select("fp", "one.*"), "near-sets")
     members = distinct.select("fp", "simhash", F.explode("bands").alias("band"))
-    links = linked = tried = None
-    for turn, most in enumerate((FIRST, MORE, None)):
-        found = written(mapped(_groups(members, turn, block), _candidates(most), "src long, dst long, band long"), "near-candidates")
-        pairs = found.filter("band is null").select("src", "dst").distinct()
-        pairs = written(pairs if tried is None else pairs.join(tried, ["src", "dst"], "left_anti"), "near-pairs")
-        own = written(_verified(docs, distinct, pairs, least), "near-links")
-        links = own if links is None else links.union(own)
-        tried = pairs if tried is None else tried.union(pairs)
-        linked = written(connected_components(links), "near-classes")
-        open_ = found.filter("band is not null").select(F.col("src").alias("fp"), F.col("dst").alias("simhash"), "band").distinct()
-        if most is None or open_.isEmpty():
-            break
-        members = written(open_.join(linked, open_["fp"] == linked["node"], "left").select("band", "fp", "simhash", F.coalesce("component", "fp").alias("class")), "near-open")
-    return linked
+    found = written(mapped(_first_groups(members, block), _candidates, "src long, dst long, band long"), "near-candidates")
+    pairs = written(found.filter("band is null").select("src", "dst").distinct(), "near-pairs")
+    sets = _sets_of(docs, distinct, pairs.select(F.col("src").alias("fp")).union(pairs.select("dst")).distinct())
+    links = written(_verified(pairs, sets, least), "near-links")
+    linked = written(connected_components(links), "near-classes")
+    more = found.filter("band is not null").select(F.col("src").alias("fp"), F.col("dst").alias("simhash"), "band").distinct()
+    if more.isEmpty():
+        return linked
+    more = more.join(linked, more["fp"] == linked["node"], "left").select("band", "fp", "simhash", F.coalesce("component", "fp").alias("class"))
+    more = written(more, "near-open")
+    groups = _later_groups(more, _sets_of(docs, distinct, more.select("fp").distinct()), block)
+    between = written(mapped(groups, _between(least), "src long, dst long", rows=16).distinct(), "near-between")
+    return written(connected_components(links.union(between)), "near-classes")
 
 
 def row_key() -> Column:

@@ -76,7 +76,6 @@ def test_few_partners_and_split_bands_lose_nothing(spark, monkeypatch):
         rows.append((len(rows), " ".join(words), "en", "s", 0))
     docs = frame(spark, rows)
     monkeypatch.setattr(neardup, "FIRST", 1)
-    monkeypatch.setattr(neardup, "MORE", 2)
     prints = neardup.written(neardup.mapped(docs.select("doc_id", "text", neardup.row_key().alias("row_key")), neardup._signatures, "doc_id long, row_key long, fp long, simhash long, bands array<long>"), "t")
     linked = {r.node: r.component for r in neardup.classes_of(docs, prints, 0.8, block=16).collect()}
     class_ = {r.doc_id: linked.get(r.fp, r.fp) for r in prints.collect()}
