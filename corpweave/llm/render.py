@@ -20,14 +20,17 @@ from corpweave.llm.common import mapped
 
 #: nodes deeper than this become siblings
 DEPTH = 150
-
-_TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*>"""
-    r"""|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*>"""
-    r"""|<(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-    r"""|<(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>""",
-    re.S,
-)
+#: rows or columns that a cell spans at most
+SPAN = 100
+
+_COMMENT = r"<!--.*?(?:-->|\Z)"
+_CDATA = r"|<!\[CDATA\[(?P<cdata>.*?)\]\]>"
+_OTHER = r"|<[!?][^>]*>|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*>"
+#: quotes count behind an equals sign only
+_TAG = r"""|<(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]++|=[ \t\n\r\f]*+(?:"[^"]*+"|'[^']*+')?+)*+)>"""
+_TAG2 = r"|<(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>"
+#: by whether a CDATA section may still end, and whether quotes still hide the end of a tag
+_TOKENS = {(c, q): re.compile(_COMMENT + (_CDATA if c else "|(?P<cdata>(?!))") + _OTHER + (_TAG if q else "|(?P<tag>(?!))(?P<attrs>)") + _TAG2, re.S) for c in (True, False) for q in (True, False)}
 _ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
 _HIDING = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 _SPACES = re.compile(r"[ \t\n\r\f]+")
@@ -77,10 +80,24 @@ class Node:
         self.tag, self.attrs, self.children = tag, attrs, []
 
 
+def _raw_end(html: str, tag: str, at: int) -> tuple[int, int]:
+    """Where the end tag of a raw element begins and what follows it; the end of the page
+    if there is none."""
+    for m in re.compile(rf"</{tag}(?=[\s/>])", re.I).finditer(html, at):
+        end = html.find(">", m.end())
+        return (m.start(), end + 1) if end >= 0 else (m.start(), len(html))
+    return len(html), len(html)
+
+
 def build(html: str) -> Node:
-    """The tree of a page; text is in `children` as strings."""
+    """The tree of a page; text is in `children` as strings.
+
+    The time is linear in the page: what can fail only for want of an end further on
+    (a tag's, a CDATA section's, a quoted value's that would hide the tag's) is not
+    tried again once there is none."""
     root = Node("html", {})
     open_, at, n = [root], 0, len(html)
+    last_end, last_cdata, quotes = html.rfind(">"), html.rfind("]]>"), True
 
     def text(raw: str) -> None:
         if raw:
@@ -107,7 +124,10 @@ def build(html: str) -> Node:
         return None
 
     while at < n:
-        m = _TOKEN.search(html, at)
+        if at > last_end and html.find("<!--", at) < 0:
+            text(html[at:])
+            break
+        m = _TOKENS[at <= last_cdata, quotes].search(html, at)
         if m is None:
             text(html[at:])
             break
@@ -133,6 +153,7 @@ def build(html: str) -> Node:
         tag = m["tag"] or m["tag2"]
         if tag is None:
             continue
+        quotes = quotes and m["tag"] is not None
         tag, raw = tag.lower(), m["attrs"] if m["tag"] else m["attrs2"]
         attrs = {a.lower(): unescape(x or y or z or "") for a, x, y, z in _ATTR.findall(raw)} if raw.strip(" /\n\t") else {}
         if tag == "html":
@@ -148,9 +169,8 @@ def build(html: str) -> Node:
             if raw.endswith("/"):
                 open_[-1].children.append(node)
             elif inside_foreign and tag in ("script", "style"):
-                end = re.compile(rf"</{tag}[^>]*>", re.I).search(html, at)
                 open_[-1].children.append(node)
-                at = end.end() if end else n
+                at = _raw_end(html, tag, at)[1]
             else:
                 _open(open_, node)
                 if inside_foreign and tag in _FOREIGN_UNSEEN[open_[inside_foreign].tag]:
@@ -166,9 +186,9 @@ def build(html: str) -> Node:
         if tag in _VOID:
             open_[-1].children.append(node)
         elif tag in _RAW:
-            end = re.compile(rf"</{tag}[^>]*>", re.I).search(html, at)
-            inside, at = (html[at : end.start()], end.end()) if end else (html[at:], n)
-            node.children.append(unescape(inside))
+            end, after = _raw_end(html, tag, at)
+            node.children.append(unescape(html[at:end]))
+            at = after
             open_[-1].children.append(node)
         else:
             _open(open_, node)
@@ -201,22 +221,26 @@ class Layout:
         self.indent: list[str] = []
         self._mark = ""
         self._inline: list[str] = []
+        self._kept = False
         self._gap = 0
 
     def text(self, text: str, keep: bool) -> None:
         if not keep:
             self._inline.append(text)
             return
+        self._kept = True
         first, *rest = text.replace("\r\n", "\n").split("\n")
-        self._inline.append("\0" + first)
+        self._inline.append(first)
         for line in rest:
             self.end_line(keep_empty=True)
-            self._inline.append("\0" + line)
+            self._kept = True
+            self._inline.append(line)
 
     def end_line(self, keep_empty: bool = False) -> None:
         """Ends the current line, if anything stands on it."""
-        raw, self._inline = "".join(self._inline), []
-        line = raw.replace("\0", "").rstrip() if "\0" in raw else _SPACES.sub(" ", raw).strip()
+        raw, kept = "".join(self._inline), self._kept
+        self._inline, self._kept = [], False
+        line = raw.rstrip() if kept else _SPACES.sub(" ", raw).strip()
         if line or keep_empty:
             self._put(line)
 
@@ -323,7 +347,7 @@ def _rows(node: Node) -> Iterator[Node]:
 
 
 def _span(value: str | None) -> int:
-    return min(int(value), 100) if value and value.isdecimal() and len(value) < 9 and int(value) > 0 else 1
+    return min(int(value), SPAN) if value and value.isdecimal() and len(value) < 9 and int(value) > 0 else 1
 
 
 def _table(node: Node) -> list[str]:
@@ -388,9 +412,8 @@ def render(html: str | None) -> str:
     lines = out.lines
     while lines and not lines[-1]:
         lines.pop()
-    while lines and not lines[0]:
-        lines = lines[1:]
-    return "\n".join(lines)
+    first = next((i for i, line in enumerate(lines) if line), 0)
+    return "\n".join(lines[first:])
 
 
 def rendered(pages: DataFrame) -> DataFrame:
@@ -406,6 +429,9 @@ def rendered(pages: DataFrame) -> DataFrame:
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Laid-out visible text of all pages: page_id, text.
 
+    All visible text comes out; the layout has two bounds: what is nested deeper than
+    `DEPTH` stands beside its parent, and a cell spans at most `SPAN` rows or columns.
+
     A null or empty html, and one without visible text, gives an empty text; a null
     page_id stays null.  Repeated rows give repeated results, an empty table none;
     further columns are ignored."""
