@@ -32,8 +32,10 @@ LEAST_SHARED = 1000
 BLOCK_LINES = 1000
 #: bytes after which a task begins another archive
 ARCHIVE_BYTES = 1 << 30
-#: segments of the index; one manifest row each
-SEGMENTS = 64
+#: captures in a segment of the index, about; one manifest row a segment, and so many segments at least
+SEGMENT_LINES, SEGMENTS = 500_000, 16
+#: bytes of an archive that one task reads back, about
+READ_BYTES = 64 << 20
 LEVEL = 4
 DATE = "2020-01-01T00:00:00Z"
 _RESPONSE, _REVISIT = "response", "revisit"
@@ -160,10 +162,12 @@ def _write_segments(folder: str):
 
 @dataclass
 class CaptureIndex:
-    """Segments in order, as (first key, last key, file); archives are in `folder`."""
+    """Segments in order, as (first key, last key, file); archives are in `folder` and have
+    `size` bytes in all."""
 
     segments: list[tuple[str, str, str]]
     folder: str
+    size: int = 0
 
     def __post_init__(self) -> None:
         self._firsts = [s[0] for s in self.segments]
@@ -172,7 +176,7 @@ class CaptureIndex:
         self._reads = Ranges()
 
     def __reduce__(self):  # open files and what was read stay behind
-        return CaptureIndex, (self.segments, self.folder)
+        return CaptureIndex, (self.segments, self.folder, self.size)
 
     def locate(self, key: str) -> list[tuple[str, int, int]]:
         """(archive, offset, length) of the captures with a line key."""
@@ -227,9 +231,10 @@ def write_pages(pages: DataFrame, least: int = LEAST_SHARED) -> tuple[CaptureInd
     rows = rows.withColumn("refers_to", F.when(~F.col("largest").eqNullSafe(F.col("page_id")), F.col("largest")))
     rows = rows.select("page_id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), "digest", "size", "refers_to")
     captures = written(mapped(rows, _write_archives(folder), CAPTURE), "captures")
-    ordered = captures.repartitionByRange(SEGMENTS, "key").sortWithinPartitions("key")
+    made = captures.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("size")).first()
+    ordered = captures.repartitionByRange(max(SEGMENTS, -(-made["n"] // SEGMENT_LINES)), "key").sortWithinPartitions("key")
     segments = mapped(ordered, _write_segments(folder), "first_key string, last_key string, segment string").collect()
-    return CaptureIndex(sorted(tuple(s) for s in segments), folder), captures
+    return CaptureIndex(sorted(tuple(s) for s in segments), folder, made["size"]), captures
 
 
 def read_captures(index: CaptureIndex, wanted: DataFrame, with_payload: bool = True) -> DataFrame:
@@ -256,9 +261,10 @@ def read_captures(index: CaptureIndex, wanted: DataFrame, with_payload: bool = T
         reads.close()
 
     asked = mapped(wanted.select(F.col("page_id").cast("long"), "url"), keys, "key string").distinct()
-    asked = asked.repartitionByRange(SEGMENTS, "key").sortWithinPartitions("key")
+    asked = asked.repartitionByRange(max(SEGMENTS, len(index.segments)), "key").sortWithinPartitions("key")
     places = mapped(asked, locate, "archive string, offset long, length long")
-    places = places.repartition("archive").sortWithinPartitions("archive", "offset")
+    tasks = max(int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-index.size // READ_BYTES))
+    places = places.repartition(tasks, "archive", F.floor(F.col("offset") / READ_BYTES)).sortWithinPartitions("archive", "offset")
     return mapped(places, fetch, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary")
 
 
