@@ -34,10 +34,11 @@ def spellings(mentions: DataFrame) -> DataFrame:
 
 
 def distinct_names(mentions: DataFrame) -> DataFrame:
-    """name, base, suffixes, bare, short (acronym), ord and raw (first spelling)."""
+    """name, base, suffixes, bare, short (acronym of the base, or of a name without one), ord and
+    raw (first spelling)."""
     names = spellings(mentions).groupBy("normalized_name").agg(F.min("ord").alias("ord"), F.min_by("raw_mention", "ord").alias("raw"))
     names = names.withColumnRenamed("normalized_name", "name").withColumn("base", base_name(F.col("name")))
-    return names.withColumn("suffixes", legal_suffixes(F.col("name"))).withColumn("bare", bare_name(F.col("name"))).withColumn("short", acronym(F.col("base"))).withColumn("short_full", acronym(F.col("name")))
+    return names.withColumn("suffixes", legal_suffixes(F.col("name"))).withColumn("bare", bare_name(F.col("name"))).withColumn("short", acronym(F.when(F.col("base") != "", F.col("base")).otherwise(F.col("name"))))
 
 
 def base_edges(names: DataFrame) -> DataFrame:
@@ -47,8 +48,9 @@ def base_edges(names: DataFrame) -> DataFrame:
 
 
 def acronym_edges(names: DataFrame) -> DataFrame:
-    """Names whose letters are the acronym of another name, or of its base."""
-    full = names.select(F.col("name").alias("dst"), F.explode(F.array_distinct(F.array("short", "short_full"))).alias("bare")).filter("length(bare) >= 2")
+    """Names whose letters are the acronym of another name's base, or of the whole name
+    where it is suffixes only."""
+    full = names.select(F.col("name").alias("dst"), F.col("short").alias("bare")).filter("length(bare) >= 2")
     return names.select(F.col("name").alias("src"), "bare").join(full, "bare").filter("src <> dst").select("src", "dst").distinct()
 
 
@@ -60,10 +62,10 @@ def judged_pairs(names: DataFrame) -> DataFrame:
     """(name_a, name_b, similarity, decision, confidence, reason) of similar pairs
     that no earlier rule merges; a stands first in the mentions."""
     pairs = similarity_pairs(names, 0.86)
-    side = lambda s: names.select(F.col("name").alias(f"name_{s}"), F.col("base").alias(f"base_{s}"), F.col("bare").alias(f"bare_{s}"), F.col("short").alias(f"short_{s}"), F.col("short_full").alias(f"full_{s}"))
+    side = lambda s: names.select(F.col("name").alias(f"name_{s}"), F.col("base").alias(f"base_{s}"), F.col("bare").alias(f"bare_{s}"), F.col("short").alias(f"short_{s}"))
     rows = pairs.join(side("a"), "name_a").join(side("b"), "name_b")
     same_base = (F.col("base_a") == F.col("base_b")) & (F.col("base_a") != "")
-    is_acronym = ((F.length("bare_a") >= 2) & (F.col("bare_a").isin(F.col("short_b"), F.col("full_b")))) | ((F.length("bare_b") >= 2) & F.col("bare_b").isin(F.col("short_a"), F.col("full_a")))
+    is_acronym = ((F.length("bare_a") >= 2) & (F.col("bare_a") == F.col("short_b"))) | ((F.length("bare_b") >= 2) & (F.col("bare_b") == F.col("short_a")))
     alike = (F.substring("base_a", 1, 10) == F.substring("base_b", 1, 10)) | F.endswith("base_a", F.col("base_b")) | F.endswith("base_b", F.col("base_a"))
     s = F.col("similarity")
     verdict = (

@@ -235,7 +235,8 @@ def seed_reasonable(spark, sf):
     return seeds.dictionary_seeds(view(spark, sf, "seed_lines"))
 
 
-_LOOKUP = f"array_to_string(list_filter(string_split({q_ws(chr(114) + 'egexp_replace(upper(name), ' + chr(39) + '[,.;:()/-]+' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')')}, ' '), lambda t: t NOT IN ({_list(rules.LOOKUP_SUFFIXES)})), ' ')"
+_UNMARKED = "regexp_replace(upper(name), '[,.;:()/-]+', ' ', 'g')"
+_LOOKUP = f"array_to_string(list_filter(string_split({q_ws(_UNMARKED)}, ' '), lambda t: t NOT IN ({_list(rules.LOOKUP_SUFFIXES)})), ' ')"
 
 
 @query("lookup_canonical", f"SELECT id, nullif({_LOOKUP}, '') AS lookup_name FROM {{raw_names}}")
@@ -270,10 +271,11 @@ def date_mon_yy(spark, sf):
     return view(spark, sf, "date_texts").select("o_orderkey", month_year(F.col("t")).alias("month_year"))
 
 
-_PIECES = [q_ws("source"), q_ws("text"), q_ws("lang")]
+_PIECES = ", ".join(f"nullif({q_ws(c)}, '')" for c in ("source", "text", "lang"))
+_JOINED = f"concat_ws(' ', {_PIECES})"
 
 
-@query("build_raw_text", f"SELECT doc_id, substr({q_ws('concat_ws(' + chr(39) + ' ' + chr(39) + ', ' + ', '.join(f'nullif({p}, ' + chr(39) * 2 + ')' for p in _PIECES) + ')')}, 1, 12000) AS raw_text, substr(text, 1, 500) AS evidence FROM {{documents}}")
+@query("build_raw_text", f"SELECT doc_id, substr({q_ws(_JOINED)}, 1, 12000) AS raw_text, substr(text, 1, 500) AS evidence FROM {{documents}}")
 def build_raw_text(spark, sf):
     return view(spark, sf, "documents").select("doc_id", text.joined_text(F.col("source"), F.col("text"), F.col("lang")).alias("raw_text"), F.substring("text", 1, 500).alias("evidence"))
 
@@ -428,7 +430,8 @@ def ingest_union_ids(spark, sf):
 def _q_variants(s: str) -> str:
     plain, dotless = q_ws(rf"regexp_replace({s}, '\([^)]*\)', '', 'g')"), q_ws(f"replace({s}, '.', '')")
     ended = f"flatten(list_transform(list_filter([{s}, {plain}, {dotless}], lambda b: b <> ''), lambda b: list_transform([{_list(rules.VARIANT_SUFFIXES)}], lambda x: b || ' ' || x)))"
-    own = f"[{s}, upper({s}), {plain}, upper({plain}), {q_ws(f'replace({s}, ' + chr(39) + '&' + chr(39) + ', ' + chr(39) + ' and ' + chr(39) + ')')}, {dotless}]"
+    spelled = q_ws(f"replace({s}, '&', ' and ')")
+    own = f"[{s}, upper({s}), {plain}, upper({plain}), {spelled}, {dotless}]"
     return f"list_concat({own}, {ended})"
 
 
@@ -463,9 +466,9 @@ def mention_dedupe(spark, sf):
 
 # --- alias resolution -------------------------------------------------------------
 _NAMED = f"SELECT source_id, {q_ws('raw_mention')} AS raw_mention, start_char, end_char, {q_name('raw_mention')} AS name FROM {{mention_rows}}"
-_NAMES = f"SELECT name, base, regexp_replace(name, '[^A-Z0-9]', '', 'g') AS bare, {q_acronym('base')} AS short, {q_acronym('name')} AS short_full FROM (SELECT DISTINCT name, {q_base('name')} AS base FROM ({_NAMED}) n WHERE name <> '') d"
+_NAMES = f"SELECT name, base, regexp_replace(name, '[^A-Z0-9]', '', 'g') AS bare, {q_acronym("CASE WHEN base <> '' THEN base ELSE name END")} AS short FROM (SELECT DISTINCT name, {q_base('name')} AS base FROM ({_NAMED}) n WHERE name <> '') d"
 _BASE_EDGES = f"SELECT a.name AS src, h.head AS dst FROM ({_NAMES}) a JOIN (SELECT base, min(name) AS head FROM ({_NAMES}) b WHERE base <> '' GROUP BY base) h ON a.base = h.base WHERE a.name <> h.head"
-_ACRONYM_EDGES = f"SELECT DISTINCT a.name AS src, b.name AS dst FROM ({_NAMES}) a JOIN ({_NAMES}) b ON length(a.bare) >= 2 AND (a.bare = b.short OR a.bare = b.short_full) AND a.name <> b.name"
+_ACRONYM_EDGES = f"SELECT DISTINCT a.name AS src, b.name AS dst FROM ({_NAMES}) a JOIN ({_NAMES}) b ON length(a.bare) >= 2 AND a.bare = b.short AND a.name <> b.name"
 _COMPONENTS = f"""WITH RECURSIVE names AS ({_NAMES}), edges AS ({_BASE_EDGES} UNION ALL {_ACRONYM_EDGES}), both_ways AS (SELECT src, dst FROM edges UNION SELECT dst, src FROM edges),
     reach(name, other) AS (SELECT name, name FROM names UNION SELECT r.name, e.dst FROM reach r JOIN both_ways e ON r.other = e.src), leaders AS (SELECT name, min(other) AS leader FROM reach GROUP BY name)"""
 
@@ -515,7 +518,7 @@ def resolved_entities(spark, sf):
     return rows.select("source_id", "raw_mention", "start_char", "normalized_name", "base_name", "legal_suffixes", "canonical_name", "merge_confidence", "merge_decision")
 
 
-BASES["near_names"] = "SELECT c_custkey AS source_id, CASE c_custkey % 3 WHEN 0 THEN 'House of ' WHEN 1 THEN 'Houses of ' ELSE 'The House ' END || substr(md5(CAST(c_custkey - c_custkey % 3 AS STRING)), 1, 9) || CASE c_custkey % 5 WHEN 0 THEN ' Inc' ELSE '' END AS raw_mention, 0 AS start_char, 5 AS end_char FROM {customer} WHERE c_custkey >= 0"
+BASES["near_names"] = "SELECT c_custkey AS source_id, CASE c_custkey % 4 WHEN 0 THEN 'House of ' WHEN 1 THEN 'Houses of ' WHEN 2 THEN 'US House of ' ELSE 'The House of ' END || substr(md5(CAST(c_custkey - c_custkey % 4 AS STRING)), 1, 9) || CASE c_custkey % 5 WHEN 0 THEN ' Inc' ELSE '' END AS raw_mention, 0 AS start_char, 5 AS end_char FROM {customer} WHERE c_custkey >= 0"
 
 
 @query("similarity_pairs")

@@ -1,5 +1,6 @@
 """Worked examples of the column expressions and of alias resolution."""
 
+from collections import Counter
 from itertools import combinations
 
 import pytest
@@ -11,7 +12,9 @@ from corpweave.functions import text
 from corpweave.functions.dates import month_year
 from corpweave.operators import resolve
 from corpweave.operators.components import connected_components
-from corpweave.operators.similarity import ratio, similar_pairs
+from corpweave.operators.similarity import ratio, similar_pairs, unshared
+from corpweave.plans import queries
+from tests.differential import DATA
 
 
 def one(spark, expression, *values, **named):
@@ -120,3 +123,62 @@ def test_components(spark, edges):
     expected = {n: c for n, c in label.items() if any(n in e and e[0] != e[1] for e in edges)}
     df = spark.createDataFrame(edges, "src long, dst long")
     assert {r["node"]: r["component"] for r in connected_components(df).collect()} == expected
+
+
+def test_acronyms_are_of_the_base(spark):
+    names = ["Johnson and Johnson Co", "JJC", "JJ", "CO INC", "CI"]
+    rows = {r["raw_mention"]: r["canonical_group_id"] for r in resolve.resolved(mentions(spark, names))[0].collect()}
+    assert rows["Johnson and Johnson Co"] == rows["JJ"] != rows["JJC"] and rows["CO INC"] == rows["CI"]
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["AB", "A", "B", "ABC ", " X", "Q1", "HOUSE OF "]), min_size=1, max_size=9).map("".join), min_size=2, max_size=60, unique=True))
+def test_no_similar_pair_is_lost(spark, names):
+    df = spark.createDataFrame(list(enumerate(names)), "ord long, name string")
+    got = {(r["name_a"], r["name_b"]) for r in similar_pairs(df).collect()}
+    assert got == {(a, b) for a, b in combinations(names, 2) if ratio(a, b) >= 0.86}
+
+
+def test_bigrams_that_names_alike_lack():
+    for a, b in (("ABCDEFGHIJKLMNOP", "ABCDEFGHIJKLM"), ("ABCDEFGHIJ", "ABXCDEFGHIJ"), ("X" * 450, "X" * 340)):
+        lacks = sum((Counter(a[i : i + 2] for i in range(len(a) - 1)) - Counter(b[i : i + 2] for i in range(len(b) - 1))).values())
+        assert ratio(a, b) >= 0.86 and lacks <= unshared(len(a), 0.86)
+
+
+def plain_pairs(names):
+    """The rules for pairs of names, one pair at a time."""
+    out = []
+    for (a, base_a, short_a), (b, base_b, short_b) in combinations(names, 2):
+        bare = [x.replace(" ", "") for x in (a, b)]
+        if (base_a and base_a == base_b) or (len(bare[0]) >= 2 and bare[0] == short_b) or (len(bare[1]) >= 2 and bare[1] == short_a):
+            continue
+        s = ratio(a, b)
+        if s >= 0.96:
+            out.append((a, b, s, "auto_merge", 0.89, "very_high_string_similarity"))
+        elif s >= 0.91:
+            out.append((a, b, s, "review_needed", 0.66, "high_string_similarity_review"))
+        elif s >= 0.86 and (base_a[:10] == base_b[:10] or base_a.endswith(base_b) or base_b.endswith(base_a)):
+            out.append((a, b, s, "review_needed", 0.58, "shared_long_base_review"))
+    return out
+
+
+def test_pair_rules_of_the_queries(spark):
+    sf = str(DATA / "sf0.001")
+    near = queries.view(spark, sf, "near_names")
+    rows = sorted(resolve.distinct_names(near).collect(), key=lambda r: tuple(r["ord"]))
+    names = [(r["name"], r["base"], r["short"]) for r in rows]
+    want = plain_pairs(names)
+    assert len({w[5] for w in want}) == 3
+    assert {tuple(r) for r in queries.Q["similarity_pairs"](spark, sf).collect()} == {(a, b, ratio(a, b)) for (a, *_), (b, *_) in combinations(names, 2) if ratio(a, b) >= 0.86}
+    assert Counter({(r.decision, r.reason): r.n_pairs for r in queries.Q["pair_rule_counts"](spark, sf).collect()}) == Counter((w[3], w[5]) for w in want)
+    raw = {r["name"]: r["raw"] for r in rows}
+    queue = Counter(tuple(r) for r in queries.Q["review_queue"](spark, sf).collect())
+    assert queue == Counter((raw[a], raw[b], a, b, round(s, 4), c, why) for a, b, s, d, c, why in want if d == "review_needed")
+    decided = {r.raw_mention: (r.merge_decision, r.merge_confidence) for r in resolve.resolved(near)[0].collect()}
+    merged = {x for a, b, _, d, *_ in want if d == "auto_merge" for x in (a, b)}
+    reviewed = {x for a, b, _, d, *_ in want if d == "review_needed" for x in (a, b)}
+    for name, text_ in raw.items():
+        if name in merged:
+            assert decided[text_] == ("auto_merge", 0.9)
+        elif name in reviewed:
+            assert decided[text_][0] in ("review_needed", "auto_merge")
