@@ -1,13 +1,15 @@
 """Dictionary mentions of organisations in texts, with character offsets.
 
 Texts and dictionary names are cut into the same tokens (runs of letters or digits,
-single other signs).  Every token sequence of a text that could be a name is looked
-up by a join on its hash and confirmed by its text; of overlapping hits the longest
-wins, then the earliest.
+single other signs).  Each distinct text is searched once.  Places whose token begins a
+name are found by a join on the token; there the token sequences of the lengths that
+such names have are looked up.  Of overlapping hits the longest wins, then the earliest.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +17,6 @@ from corpweave import schemas
 from corpweave.functions.text import is_reasonable_seed, normalize_whitespace, seed_variants
 
 TOKEN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
-#: dictionary rows up to which the join is left to a broadcast, if Spark sees fit
 LABEL = "ORG"
 SOURCE = "spacy_or_entityruler"
 
@@ -42,7 +43,8 @@ def seeds_of(records: DataFrame, extra: DataFrame | None = None) -> DataFrame:
 
 def longest_first(hits: Column) -> Column:
     """Of array of struct(first, last, ...) those kept if longer ones, then earlier
-    ones, are taken first and none overlaps another; in the order of the text."""
+    ones, are taken first and none overlaps another; in the order of the text.  It is
+    meant for the few hits of a place where they overlap."""
     ranked = F.array_sort(hits, lambda a, b: F.when(
         (a["last"] - a["first"]) != (b["last"] - b["first"]), F.when((a["last"] - a["first"]) > (b["last"] - b["first"]), -1).otherwise(1)
     ).otherwise(F.when(a["first"] < b["first"], -1).when(a["first"] > b["first"], 1).otherwise(0)))
@@ -53,29 +55,34 @@ def longest_first(hits: Column) -> Column:
 def found_mentions(texts: DataFrame, dictionary: DataFrame, key: str, text: str) -> DataFrame:
     """(key, raw_mention, start_char, end_char) for rows of `texts`; `key` tells rows
     apart.  Offsets count characters."""
-    # lengths of names that occur: at most one row for each, so the list is small
-    lengths = dictionary.select(F.size("tokens").alias("n")).filter("n > 0").groupBy().agg(F.collect_set("n").alias("lengths"))
-    names = dictionary.select(F.array_join("tokens", " ").alias("gram")).distinct().withColumn("gram_hash", F.xxhash64("gram"))
-    cut = texts.select(key, F.col(text).alias("text")).filter("text <> ''").withColumn("tokens", tokens(F.col("text")))
-    sizes = F.transform("tokens", lambda t: F.length(t))
-    # a token's place: behind the one before, and further by the spaces between
-    between = F.split(F.col("text"), TOKEN)
-    gaps = F.transform(between, lambda g: F.length(g))
-    steps = F.zip_with(F.slice(gaps, F.lit(1), F.size("tokens")), sizes, lambda gap, size: F.struct(gap.alias("gap"), size.alias("size")))
-    cut = cut.withColumn("steps", steps)
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
-    places = F.aggregate("steps", begin, lambda a, s: F.struct((a["at"] + s["gap"] + s["size"]).alias("at"), F.concat(a["starts"], F.array(a["at"] + s["gap"])).alias("starts")), lambda a: a["starts"])
-    cut = cut.withColumn("starts", places).crossJoin(F.broadcast(lengths))  # one row
-    grams = cut.select(key, F.explode("lengths").alias("n"), "tokens", "starts")
-    grams = grams.filter("size(tokens) >= n").select(key, "n", "tokens", "starts", F.explode(F.expr("sequence(1, size(tokens) - n + 1)")).alias("i"))
-    gram = F.array_join(F.transform(F.slice("tokens", F.col("i"), F.col("n")), lambda t: F.lower(t)), " ")
-    last = F.col("i") + F.col("n") - 2
-    grams = grams.select(key, (F.col("i") - 1).alias("first"), last.alias("last"), gram.alias("gram"), F.get("starts", F.col("i") - 1).alias("a"), (F.get("starts", last) + F.length(F.get("tokens", last))).alias("b"))
-    hits = grams.withColumn("gram_hash", F.xxhash64("gram")).join(names, ["gram_hash", "gram"], "left_semi")
-    per_text = hits.groupBy(key).agg(F.collect_list(F.struct("first", "last", "a", "b")).alias("hits"))
-    kept = per_text.select(key, F.explode(longest_first(F.col("hits"))).alias("hit"))
-    spans = kept.select(key, F.col("hit.a").alias("start_char"), F.col("hit.b").alias("end_char"))
-    return spans.join(texts.select(key, F.col(text).alias("text")), key).select(key, F.expr("substring(text, start_char + 1, end_char - start_char)").alias("raw_mention"), "start_char", "end_char")
+    names = dictionary.filter("size(tokens) > 0").select("tokens", F.array_join("tokens", " ").alias("gram"))
+    firsts = names.groupBy(F.get("tokens", F.lit(0)).alias("token")).agg(F.collect_set(F.size("tokens")).alias("lengths"))
+    longest = names.agg(F.max(F.size("tokens")).alias("longest"))  # one row
+    cut = texts.select(key, F.col(text).alias("text")).filter("text <> ''").withColumn("tokens", F.transform(tokens(F.col("text")), lambda t: F.lower(t))).filter("size(tokens) > 0")
+    cut = cut.crossJoin(F.broadcast(longest)).filter("longest is not null")
+    # a row a place, with the tokens from there on that a name can take up
+    ahead = F.transform(F.sequence(F.lit(1), F.size("tokens")), lambda i: F.slice("tokens", i, F.col("longest")))
+    places = cut.select(key, F.posexplode(ahead).alias("first", "ahead"))
+    begun = places.withColumn("token", F.get("ahead", F.lit(0))).join(firsts, "token")
+    grams = begun.select(key, "first", "ahead", F.explode("lengths").alias("n")).filter("size(ahead) >= n")
+    grams = grams.select(key, "first", (F.col("first") + F.col("n") - 1).alias("last"), F.array_join(F.slice("ahead", F.lit(1), F.col("n")), " ").alias("gram"))
+    hits = grams.join(names.select("gram").distinct(), "gram", "left_semi").select(key, "first", "last")
+    # hits that overlap, directly or through others, stand together
+    by = Window.partitionBy(key).orderBy("first", "last")
+    reach = F.max("last").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    runs = hits.withColumn("opens", F.coalesce(F.col("first") > reach, F.lit(True)).cast("int"))
+    runs = runs.withColumn("run", F.sum("opens").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    kept = runs.groupBy(key, "run").agg(longest_first(F.collect_list(F.struct("first", "last"))).alias("hits"))
+    per_text = kept.select(key, F.explode("hits").alias("hit")).groupBy(key).agg(F.collect_list("hit").alias("hits"))
+    # a token's place: behind all gaps and tokens before it
+    found = texts.select(key, F.col(text).alias("text")).join(per_text, key)
+    found = found.withColumn("sizes", F.transform(tokens(F.col("text")), lambda t: F.length(t))).withColumn("gaps", F.transform(F.split("text", TOKEN), lambda g: F.length(g)))
+    total = lambda list_, n: F.aggregate(F.slice(list_, F.lit(1), n), F.lit(0), lambda s, x: s + x)
+    spans = found.select(key, "text", "sizes", "gaps", F.explode("hits").alias("hit"))
+    start = total(F.col("gaps"), F.col("hit.first") + 1) + total(F.col("sizes"), F.col("hit.first"))
+    end = total(F.col("gaps"), F.col("hit.last") + 1) + total(F.col("sizes"), F.col("hit.last") + 1)
+    spans = spans.select(key, "text", start.alias("start_char"), end.alias("end_char"))
+    return spans.select(key, F.expr("substring(text, start_char + 1, end_char - start_char)").alias("raw_mention"), "start_char", "end_char")
 
 
 def deduplicated(mentions: DataFrame) -> DataFrame:
@@ -85,11 +92,24 @@ def deduplicated(mentions: DataFrame) -> DataFrame:
     return mentions.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
 
 
-def extracted(cleaned: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Mention rows, with all fixed columns, of validated records."""
+#: finds mentions by other means: a table (text_key, text) to one (text_key, raw_mention, entity_label, start_char, end_char)
+Tagger = Callable[[DataFrame], DataFrame]
+
+
+def extracted(cleaned: DataFrame, dictionary: DataFrame, labels: tuple[str, ...] = (LABEL,), tagger: Tagger | None = None) -> DataFrame:
+    """Mention rows, with all fixed columns, of validated records, whose label is one of
+    `labels` in any case.  Rows with equal texts have the same mentions.  A tagger's
+    mentions are added where none of the dictionary's overlaps them."""
     df = schemas.require(cleaned, ["source_id", "source_type", "raw_text_cleaned"])
     df = schemas.ensure(df, {"source_type_cleaned": "source_type", "source_url": None, "source_url_cleaned": "source_url", "date": None, "date_cleaned": "date", "company_seed": None, "company_seed_cleaned": "company_seed", "raw_text": "raw_text_cleaned"})
-    texts = df.select("source_id", "raw_text_cleaned").filter("raw_text_cleaned <> ''")
-    found = found_mentions(texts.distinct(), dictionary, "source_id", "raw_text_cleaned")
-    rows = df.join(found, "source_id").withColumn("entity_label", F.lit(LABEL)).withColumn("mention_source", F.lit(SOURCE)).withColumn("mention_confidence", F.lit(""))
+    df = df.withColumn("text_key", F.sha2("raw_text_cleaned", 256))
+    texts = df.filter("raw_text_cleaned <> ''").select("text_key", F.col("raw_text_cleaned").alias("text")).dropDuplicates(["text_key"])
+    found = found_mentions(texts, dictionary, "text_key", "text").withColumn("entity_label", F.lit(LABEL))
+    if tagger is not None:
+        tagged = tagger(texts).select("text_key", "raw_mention", "start_char", "end_char", "entity_label")
+        own = found.select(F.col("text_key").alias("k"), F.col("start_char").alias("a"), F.col("end_char").alias("b"))
+        clear = tagged.join(own, (F.col("text_key") == F.col("k")) & (F.col("start_char") < F.col("b")) & (F.col("a") < F.col("end_char")), "left_anti")
+        found = found.unionByName(clear)
+    found = found.filter(F.upper("entity_label").isin([label.upper() for label in labels]))
+    rows = df.join(found, "text_key").withColumn("mention_source", F.lit(SOURCE)).withColumn("mention_confidence", F.lit(""))
     return deduplicated(rows.select(*schemas.MENTIONS))
