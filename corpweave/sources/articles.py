@@ -47,13 +47,20 @@ def articles(landed: DataFrame) -> DataFrame:
     year = F.coalesce(_first(x, "//PubDate/Year/text()"), _first(x, "//ArticleDate/Year/text()"))
     month = F.coalesce(_first(x, "//PubDate/Month/text()"), _first(x, "//ArticleDate/Month/text()"))
     pieces = F.regexp_extract_all("x", F.lit(r"(?s)<AbstractText(?:\s[^>]*)?>(.*?)</AbstractText>"), F.lit(1))
-    plain = F.transform(pieces, lambda p: F.trim(unescaped(F.regexp_replace(p, r"<[^>]*>", ""))))
+    plain = F.transform(pieces, lambda p: F.trim(decoded(p)))
     date = F.when(year.isNotNull() & month.isNotNull(), F.concat(month, F.lit("-"), year)).otherwise(year)
     rows = rows.select("seed", _first(x, "//PMID/text()").alias("pmid"), F.coalesce(_first(x, "//ArticleTitle/text()"), F.lit("")).alias("title"), F.array_join(F.filter(plain, lambda p: p != ""), " ").alias("abstract"), date.alias("date"))
     rows = rows.withColumn("url", F.concat(F.lit(ARTICLE_URL), F.col("pmid"), F.lit("/")))
     return rows.withColumn("raw_text", joined_text(F.col("title"), F.col("abstract")))
 
 
+def decoded(c: Column) -> Column:
+    """Text of a piece of XML: without tags, entities replaced.  Numeric entities and CDATA
+    sections are rare and are left to an XML parser."""
+    whole = F.xpath_string(F.concat(F.lit("<r>"), c, F.lit("</r>")), F.lit("string(/r)"))
+    return F.when(c.contains("&#") | c.contains("<![CDATA["), whole).otherwise(unescaped(F.regexp_replace(c, r"<[^>]*>", "")))
+
+
 def unescaped(c: Column) -> Column:
     for name, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
         c = F.replace(c, F.lit(name), F.lit(sign))
@@ -67,7 +74,7 @@ def assignments(landed: DataFrame, limit: int = 20) -> DataFrame:
     rows = landed.select("seed", F.posexplode(docs).alias("place", "d"))
 
     def field(name: str) -> Column:
-        return _filled(F.trim(unescaped(F.regexp_extract("d", rf"(?is)<{name}(?:\s[^>]*)?>(.*?)</{name}>", 1))))
+        return _filled(F.trim(decoded(F.regexp_extract("d", rf"(?is)<{name}(?:\s[^>]*)?>(.*?)</{name}>", 1))))
 
     names = ["assignor", "assignee", "patentnumber", "applicationnumber", "executiondate", "recordeddate", "reelno", "frameno"]
     rows = rows.select("seed", "place", *[field(n).alias(n) for n in names])  # each is searched for once

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from corpweave.shipping import shipped
 
 TICKERS = "map<string, struct<cik_str: long, ticker: string, title: string>>"
-SUBMISSIONS = "struct<cik: string, filings: struct<recent: struct<form: array<string>, accessionNumber: array<string>, primaryDocument: array<string>, filingDate: array<string>>>>"
+SUBMISSIONS = "struct<cik: string, name: string, filings: struct<recent: struct<form: array<string>, accessionNumber: array<string>, primaryDocument: array<string>, filingDate: array<string>>>>"
 #: characters kept of a filing
 TEXT_LIMIT = 20_000
 ARCHIVE = "https://www.sec.gov/Archives/edgar/data"
@@ -38,16 +38,16 @@ def matched_cik(seeds: DataFrame, titles: DataFrame) -> DataFrame:
 
 
 def recent_filings(landed: DataFrame, forms: list[str] | None = None, limit: int = 20) -> DataFrame:
-    """(cik, form, filing_date, accession, document, url, place) of submissions
+    """(cik, company, form, filing_date, accession, document, url, place) of submissions
     responses (seed, body): the first `limit` of the wanted forms, in order.  Parallel
     lists of unequal length count as far as the shortest."""
     parsed = landed.select(F.from_json("body", SUBMISSIONS).alias("s"))
-    lists = parsed.select(F.lpad("s.cik", 10, "0").alias("cik"), F.col("s.filings.recent").alias("r"))
+    lists = parsed.select(F.lpad("s.cik", 10, "0").alias("cik"), F.col("s.name").alias("company"), F.col("s.filings.recent").alias("r"))
     shortest = F.least(*[F.size(f"r.{c}") for c in ("form", "accessionNumber", "primaryDocument", "filingDate")])
     zipped = F.arrays_zip(F.col("r.form").alias("form"), F.col("r.accessionNumber").alias("accession"), F.col("r.primaryDocument").alias("document"), F.col("r.filingDate").alias("filing_date"))
     wanted = F.filter(F.slice(zipped, F.lit(1), F.greatest(shortest, F.lit(0))), lambda f: F.lit(True) if forms is None else f["form"].isin(forms))
-    rows = lists.select("cik", F.posexplode(F.slice(wanted, 1, limit)).alias("place", "f"))
-    return rows.select("cik", "f.form", "f.filing_date", "f.accession", "f.document", filing_url(F.col("cik"), F.col("f.accession"), F.col("f.document")).alias("url"), "place")
+    rows = lists.select("cik", "company", F.posexplode(F.slice(wanted, 1, limit)).alias("place", "f"))
+    return rows.select("cik", "company", "f.form", "f.filing_date", "f.accession", "f.document", filing_url(F.col("cik"), F.col("f.accession"), F.col("f.document")).alias("url"), "place")
 
 
 def filing_url(cik: Column, accession: Column, document: Column) -> Column:

@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir` of the session; where it is unset (tests on one
-    machine), a folder made for this session."""
+    """`spark.checkpoint.dir` of the session; where it is unset, a folder made for this
+    session, on one machine only: on a cluster no other executor would see it."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         found = getattr(spark, "_corpweave_shared", None) or "file://" + tempfile.mkdtemp(prefix="corpweave-")
         spark._corpweave_shared = found
     return found.rstrip("/")
