@@ -10,9 +10,10 @@ of all suffixes, so the texts are dealt by content first:
    dealt by hash; one that a single document holds settles all its windows.
 3. Around each other anchor the text that its windows cover (its context) is dealt
    by the hash.  Equal contexts of a batch are sent once, for their first document.
-   Anchors found in more than a hundredth of a sample of documents are known to be
-   shared: they skip step 2, and their contexts are split into the single windows,
-   each dealt by its own content.  So no hash gathers more than about that share.
+   The contexts of an anchor that more than `MOST_CONTEXTS` documents hold, as counted
+   in step 2, are split into the single windows, each dealt by its own content, so
+   what one hash gathers does not grow with the corpus.  Anchors found in more than a
+   hundredth of a sample of documents are known to be such beforehand and skip step 2.
 4. In each partition, contexts are joined to texts of bounded size whose suffixes
    are sorted in two stages: those smaller than their successor directly, the rest
    induced from them by scans over the buckets.  Common prefixes of neighbours
@@ -40,6 +41,8 @@ GRAM = 16
 #: documents looked at for frequent anchors, about, and the share that makes one
 SAMPLE = 4000
 FREQUENT = 0.01
+#: documents with an anchor beyond which its contexts are split
+MOST_CONTEXTS = 20_000
 #: partitions that anchors and contexts are dealt to, at least
 LEAST_PARTS = 64
 #: bytes that are hashed, or sorted, at once
@@ -197,11 +200,13 @@ def _anchor_rows(min_len: int, k: int, parts: int, frequent):
 
 
 def _shared_rows(frequent):
-    """All anchors of a partition -> per document those that another one has too."""
-    return lambda batches: _shared(batches, frequent.value)
+    """All anchors of a partition -> per document those that another one has too, and of
+    these those that very many have."""
+    most = MOST_CONTEXTS
+    return lambda batches: _shared(batches, frequent.value, most)
 
 
-def _shared(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _shared(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
     hs, dids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for batch in batches:
         for h, d, n in zip(*(batch[c].to_pylist() for c in ("hs", "dids", "ns"))):
@@ -214,15 +219,19 @@ def _shared(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator
         return
     opens = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
     apart = (np.minimum.reduceat(did, opens) != np.maximum.reduceat(did, opens)) | np.isin(h[opens], frequent)
-    shared = np.repeat(apart, np.diff(np.append(opens, len(h))))
-    h, did = h[shared], did[shared]
+    times = np.diff(np.append(opens, len(h)))
+    shared, often = np.repeat(apart, times), np.repeat(times > most, times)
+    h, did, often = h[shared], did[shared], often[shared]
     order = np.argsort(did, kind="stable")
-    h, did = h[order], did[order]
+    h, did, often = h[order], did[order], often[order]
     doc = np.flatnonzero(np.concatenate([[True], did[1:] != did[:-1]])) if len(did) else np.zeros(0, np.int64)
     for lo in range(0, len(doc), 10_000):
         cut = doc[lo : lo + 10_000]
         end = doc[lo + 10_000] if lo + 10_000 < len(doc) else len(h)
-        yield pa.RecordBatch.from_arrays([pa.array(did[cut]), _bytes_column(_six(h[cut[0] : end]), cut - cut[0])], names=["did", "hs"])
+        many = often[cut[0] : end]
+        opens = np.concatenate([[0], np.cumsum(many)])[cut - cut[0]]
+        cols = [_bytes_column(_six(h[cut[0] : end]), cut - cut[0]), _bytes_column(_six(h[cut[0] : end][many]), opens)]
+        yield pa.RecordBatch.from_arrays([pa.array(did[cut]), *cols], names=["did", "hs", "many"])
 
 
 def _merged(did: np.ndarray, th: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -265,14 +274,18 @@ PACKED = "part int, h binary, did binary, th binary, at binary, len binary, cont
 
 
 def _context_rows(min_len: int, k: int, parts: int, frequent):
-    """For documents with the list `marks` of their shared anchors: contexts to be
-    compared, and spans that a smaller document of the batch settles already."""
+    """For documents with the lists `marks` of their shared anchors and `many` of those
+    that very many have: contexts to be compared, and spans that a smaller document of
+    the batch settles already."""
+
+    def of_documents(lists: list) -> np.ndarray:
+        found = [i << 48 | _from_six(b"".join(m)) for i, m in enumerate(lists) if m]
+        return np.unique(np.concatenate([np.zeros(0, np.int64), *found]))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, ids, versions = _text_bytes(batch), batch["did"].to_pylist(), batch["th"].to_pylist()
-            named = [np.zeros(0, np.int64)] + [i << 48 | _from_six(b"".join(m)) for i, m in enumerate(batch["marks"].to_pylist()) if m]
-            named = np.unique(np.concatenate(named))
+            named, many = of_documents(batch["marks"].to_pylist()), of_documents(batch["many"].to_pylist())
             first: dict[bytes, tuple] = {}
             out = _Packed()
             done: list[tuple[int, int, int, int]] = []
@@ -284,8 +297,9 @@ def _context_rows(min_len: int, k: int, parts: int, frequent):
                 place, lo, hi = anchors(data, valid, min_len, k)
                 part = np.searchsorted(opens, place, side="right") - 1
                 h = (gram_hashes(data, k)[place] >> _U(16)).astype(np.int64)
-                often = np.isin(h, frequent.value)
-                held = np.flatnonzero(often | np.isin(where[part, 0] << 48 | h, named))
+                own = where[part, 0] << 48 | h
+                often = np.isin(h, frequent.value) | np.isin(own, many)
+                held = np.flatnonzero(often | np.isin(own, named))
                 part = part[held]
                 raw, owner, shift = data.tobytes(), where[part, 0].tolist(), (where[part, 1] - opens[part]).tolist()
                 for key, a, b, o, s, alone in zip(h[held].tolist(), lo[held].tolist(), hi[held].tolist(), owner, shift, often[held].tolist()):
@@ -545,9 +559,10 @@ def without_repeats(docs: DataFrame, min_len: int = MIN_LEN, k: int = GRAM, shar
     # again; it has to carry the same columns each time
     own = texts.join(firsts, "did", "left").withColumn("first", F.coalesce(F.array_contains("firsts", F.col("th")), F.lit(False)))
     found = mapped(own.filter("first").select("did", "text", *also), _anchor_rows(min_len, k, parts, frequent), "part int, hs binary, dids binary, ns binary")
-    shared = mapped(found.repartitionById(parts, F.col("part")).drop("part"), _shared_rows(frequent), "did long, hs binary")
-    marks = shared.groupBy("did").agg(F.collect_list("hs").alias("marks"))
-    marked = own.join(marks, "did", "left").filter("first and marks is not null").select("did", "th", "text", "marks", *also)
+    shared = mapped(found.repartitionById(parts, F.col("part")).drop("part"), _shared_rows(frequent), "did long, hs binary, many binary")
+    many = F.collect_list(F.when(F.octet_length("many") > 0, F.col("many")))
+    marks = shared.groupBy("did").agg(F.collect_list("hs").alias("marks"), many.alias("many"))
+    marked = own.join(marks, "did", "left").filter("first and marks is not null").select("did", "th", "text", "marks", "many", *also)
     contexts = mapped(marked, _context_rows(min_len, k, parts, frequent), PACKED)
     spans = mapped(contexts.repartitionById(parts, F.col("part")).drop("part"), _span_rows(min_len), "did long, th long, a long, b long")
     lists = spans.groupBy("did").agg(F.collect_list(F.struct("th", "a", "b")).alias("spans"))

@@ -348,8 +348,9 @@ def plain_repeats(rows, length=50):
     return out
 
 
-@pytest.mark.parametrize("share", [0.01, 0.0])
-def test_op10(spark, sf, share):
+@pytest.mark.parametrize(("share", "most"), [(0.01, 20_000), (0.0, 20_000), (1.0, 1), (1.0, 2)])
+def test_op10(spark, sf, monkeypatch, share, most):
+    monkeypatch.setattr(suffix, "MOST_CONTEXTS", most)
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     got = suffix.without_repeats(docs, share=share).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
     assert Counter(tuple(r) for r in got) == plain_repeats([(r[0], r[1]) for r in documents()])
