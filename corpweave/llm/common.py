@@ -28,10 +28,12 @@ def _libc():
 
 
 def spare() -> None:
-    """Lets the C library map large blocks one by one, so that they go back when they are freed."""
+    """Lets the C library map large blocks one by one, and Arrow use it, so that they go back
+    when they are freed."""
     mallopt = getattr(_libc(), "mallopt", None)
     if mallopt is not None:
         mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+        pa.set_memory_pool(pa.system_memory_pool())
 
 
 def release() -> None:

@@ -15,12 +15,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from corpweave.llm.common import mapped, release, small_batches
+from corpweave.llm.common import mapped
 
 #: log2 of the number of hash buckets of the matrix
 BUCKET_BITS = 16
@@ -222,14 +222,14 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     `LanguageModel.score`.  Only text is read for it."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def language(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            labels, scores = held.value.score(texts.tolist())
-            yield pd.DataFrame({"lang_pred": labels, "score": scores})
-        release()
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels, scores = held.value.score(batch["text"].to_pylist())
+            found = pa.StructArray.from_arrays([pa.array(labels, pa.string()), pa.array(scores)], names=["lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, "language"])
 
-    return small_batches(docs).withColumn("language", language(F.col("text")))
+    language = StructField("language", StructType.fromDDL("lang_pred string, score double"))
+    return mapped(docs, emit, StructType([*docs.schema.fields, language]))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,10 +248,8 @@ def in_learned_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """The rows of `docs` that `LanguageModel.recognised` holds."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def recognised(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(held.value.recognised(texts.tolist()))
-        release()
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(held.value.recognised(batch["text"].to_pylist())))
 
-    return small_batches(docs).filter(recognised(F.col("text")))
+    return mapped(docs, emit, docs.schema)

@@ -20,7 +20,6 @@ from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -28,7 +27,6 @@ from pyspark.sql import functions as F
 
 from corpweave.llm.common import mapped
 from corpweave.llm.tokenize import encoder, together
-from corpweave.shipping import shipped
 from corpweave.storage import written
 
 CAPACITY = 1024
@@ -274,14 +272,14 @@ def search(spark: SparkSession, wanted: dict[int, int], capacity: int = CAPACITY
     for turn in range(rounds):
         sent = pickle.dumps((wanted, elites))
 
-        def island(frames: Iterator[pd.DataFrame], sent=sent, turn=turn) -> Iterator[pd.DataFrame]:
+        def island(batches: Iterator[pa.RecordBatch], sent=sent, turn=turn) -> Iterator[pa.RecordBatch]:
             wanted, elites = pickle.loads(sent)
-            for frame in frames:
-                for i in frame["id"].tolist():
+            for batch in batches:
+                for i in batch["id"].to_pylist():
                     found = evolve(wanted, elites[i], seed * 1000 + turn * islands + i, capacity)
-                    yield pd.DataFrame({"id": [i], "found": [pickle.dumps(found)]})
+                    yield pa.RecordBatch.from_pydict({"id": [i], "found": [pickle.dumps(found)]})
 
-        rows = shipped(spark).range(0, islands, 1, islands).mapInPandas(island, "id long, found binary").collect()
+        rows = mapped(spark.range(0, islands, 1, islands), island, "id long, found binary").collect()
         found = [pickle.loads(r["found"]) for r in sorted(rows, key=lambda r: r["id"])]
         best = min([*found, *([best] if best else [])], key=lambda s: fitness(s, capacity))
         if sum(best.values()) <= least_bins(wanted, capacity):

@@ -22,11 +22,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: bytes of text that are encoded together, about
-TOGETHER = 4 << 20
+TOGETHER = 2 << 20
 #: distinct chunks in one call of the library
 JOIN = 256
 #: bytes of chunks and ids that a worker keeps, about; beyond them, what was not asked for again goes
-KEPT = 16 << 20
+KEPT = 12 << 20
 #: white space but for the space and the line end; the separators 1C-1F are white space for some libraries only
 _OTHER_SPACES = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))
 _UNEVEN = rf"\A[ \n]|[ \n]\z|[ \n][ \n]|[{_OTHER_SPACES}]|\A\z"

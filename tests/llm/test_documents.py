@@ -234,7 +234,7 @@ def test_scores_equal_a_plain_bayes():
 
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    found = langid.predict(docs, langid.fit(docs)).filter(langid.held_out() & docs.lang.isNotNull())
+    found = langid.predict(docs, langid.fit(docs)).filter(langid.held_out()).filter("lang is not null")
     right = found.filter("language.lang_pred = lang").count() / found.count()
     assert right > 0.97
 
