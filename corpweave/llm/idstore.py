@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from corpweave.llm.common import mapped
 from corpweave.llm.files import Output, Ranges, new_file
-from corpweave.llm.tokenize import encoder, together
+from corpweave.llm.tokenize import Encoder, together
 from corpweave.storage import shared_path, written
 
 END_ID = 2
@@ -145,7 +145,7 @@ def _ranges(reads: Ranges, file: str, width: int, offset: np.ndarray, length: np
 
 def _write_shards(folder: str, path: str, end_id: int | None):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(path, end_id)
+        tokens = Encoder(path, end_id)
         kind = np.uint16 if tokens.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         out, at, last, copy, part = None, 0, object(), 0, TaskContext.get().partitionId()
         for batch in together(batches):

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpweave.llm.common import mapped
-from corpweave.llm.tokenize import encoder, together
+from corpweave.llm.tokenize import Encoder, together
 from corpweave.storage import written
 
 CAPACITY = 1024
@@ -313,7 +313,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int | N
     pieces of a length within the task that made them."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = encoder(path, end_id).encode, TaskContext.get().partitionId()
+        encode, part = Encoder(path, end_id).encode, TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for batch in together(batches):
             found = encode(batch["text"])
