@@ -7,8 +7,7 @@ and the ids of a text are those of its chunks put together by index.  Cutting,
 finding the distinct chunks and putting together are array operations.  Texts in
 which such a cut could depend on its surroundings (other white space) are encoded
 by the library whole, so the ids are always those of the library.  Chunks and their
-ids are kept for the batches that follow, up to a number of bytes; a task makes its
-encoder anew, so that workers that wait hold nothing.
+ids are kept for the batches that follow, up to a number of bytes.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: bytes of text that are encoded together, about
-TOGETHER = 2 << 20
+TOGETHER = 4 << 20
 #: distinct chunks in one call of the library
 JOIN = 256
 #: bytes of chunks and ids that a worker keeps, about; beyond them, what was not asked for again goes
@@ -160,3 +159,15 @@ class Encoder:
             ids.append(np.array(own, dtype=np.uint32))
             counts.append(np.bincount(owner, minlength=len(size)).astype(np.int32))
         return np.concatenate(ids), np.concatenate(counts)
+
+
+_ENCODERS: dict[tuple, Encoder] = {}
+
+
+def encoder(path: str, end_id: int | None = None) -> Encoder:
+    """The worker's encoder for a vocabulary file; kept between tasks of a reused worker."""
+    key = (path, end_id)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()  # one vocabulary at a time
+        _ENCODERS[key] = Encoder(path, end_id)
+    return _ENCODERS[key]
