@@ -27,7 +27,9 @@ HEADLINE = [
     "xml_patent_parse",
     "ingest_union_ids",
     "ruler_patterns",
+    "dictionary_mentions",
     "resolved_entities",
+    "similarity_pairs",
     "review_queue",
     "sentence_assign",
     "detect_relation",
