@@ -324,15 +324,17 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int | N
             first = sizes - (number - 1) * capacity
             length = np.where(piece == 0, first[owner], capacity)
             start = np.where(piece == 0, 0, first[owner] + (piece - 1) * capacity)
-            ids = memoryview(np.concatenate(found).astype("<u4").tobytes())
-            upto = np.concatenate([[0], np.cumsum(4 * length)]).tolist()
+            ids = np.concatenate(found).astype("<u4", copy=False).view(np.uint8)
+            ends = np.concatenate([[0], np.cumsum(4 * length)])
+            upto = ends.tolist()
             crcs = [zlib.crc32(ids[a:b]) for a, b in zip(upto, upto[1:])]
             order = np.argsort(length, kind="stable")
             opens = np.searchsorted(length[order], np.arange(capacity + 2))
             rank = np.empty(len(length), dtype=np.int64)
             rank[order] = np.arange(len(order)) - opens[length[order]] + seen[length[order]]
             seen += np.diff(opens)
-            own = pa.array([ids[a:b] for a, b in zip(upto, upto[1:])] if with_ids else [None] * len(length), pa.binary())
+            # by buffers: an array made of memoryviews never lets go of the bytes behind them
+            own = pa.BinaryArray.from_buffers(pa.binary(), len(length), [None, pa.array(ends, pa.int32()).buffers()[1], pa.py_buffer(ids)]) if with_ids else pa.nulls(len(length), pa.binary())
             cols = [batch["doc_id"].take(pa.array(owner)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length.astype(np.int32)), pa.array(crcs, pa.int64()), own, pa.array(np.full(len(length), part, np.int32)), pa.array(rank)]
             yield pa.RecordBatch.from_arrays(cols, names=[f.split()[0] for f in PIECE.split(", ")])
 

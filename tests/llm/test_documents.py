@@ -1,10 +1,13 @@
 """Operators over documents, against plain versions, on the difficult cases."""
 
+import gc
 import hashlib
 import random
+import tracemalloc
 import zlib
 from array import array
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -136,6 +139,28 @@ def test_op2(spark, sf):
     assert len(bins) <= packing.least_bins(lengths) + 1
 
 
+def test_pieces_hold_no_ids_after_their_task(monkeypatch):
+    # in a worker, which goes on living: ids of batches that were sent have to go
+    made = []
+    monkeypatch.setattr(packing, "mapped", lambda df, emit, schema: made.append(emit))
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    packing.pieces(SimpleNamespace(select=lambda *names: None), public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [prose(s, 400) for s in range(300)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(300)), "text": texts})
+    sent = sum(len(x.as_py()) for out in made[0](iter([batch])) for x in out["ids"])  # the encoder knows all chunks now
+    tracemalloc.start()
+    try:
+        for _ in range(3):
+            for out in made[0](iter([batch])):
+                for ids, length, crc in zip(out["ids"].to_pylist(), out["length"].to_pylist(), out["ids_crc32"].to_pylist()):
+                    assert len(ids) == 4 * length and zlib.crc32(ids) == crc
+            del out, ids
+        gc.collect()
+        assert tracemalloc.get_traced_memory()[0] < sent
+    finally:
+        tracemalloc.stop()
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.dictionaries(st.integers(1, 100), st.integers(1, 30), max_size=20), st.integers(0, 5))
 def test_solutions_hold_every_piece(wanted, seed):
