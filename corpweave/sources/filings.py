@@ -27,14 +27,35 @@ def tickers(landed: DataFrame) -> DataFrame:
     return rows.select("ord", F.lpad(F.col("row.cik_str").cast("string"), 10, "0").alias("cik"), F.upper(F.coalesce("row.title", F.lit(""))).alias("title"))
 
 
+def _parts(text: str, lengths: str) -> Column:
+    """Distinct parts of a text of as many characters as `lengths` has, in any place."""
+    n = F.length(text)
+    fitting = F.filter(lengths, lambda k: (k > 0) & (k <= n))
+    return F.array_distinct(F.flatten(F.transform(fitting, lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substring(F.col(text), i, k)))))
+
+
 def matched_cik(seeds: DataFrame, titles: DataFrame) -> DataFrame:
     """(seed, cik): first title that holds the seed or is held by it, in upper case.
 
-    Titles are a dimension of some ten thousand rows; the larger side is never
-    broadcast.  Seeds without a match are absent; an empty title matches any seed."""
-    name = F.upper("seed")
-    both = seeds.select("seed").distinct().join(titles, F.contains("title", name) | F.contains(name, F.col("title")))
-    return both.groupBy("seed").agg(F.min_by("cik", "ord").alias("cik"))
+    A text holds another if one of its parts of that length equals it, so both ways are
+    equi-joins: rows grow with the texts and the lengths that occur, not with seeds x
+    titles.  Seeds without a match are absent; an empty title matches any seed."""
+    names = seeds.select("seed", F.upper("seed").alias("name")).filter("name is not null").distinct()
+    known = titles.filter("title is not null")
+    first = lambda df, *by: df.groupBy(*by).agg(F.min("ord").alias("ord"), F.min_by("cik", "ord").alias("cik"))
+    of_title = first(known, "title")
+    lengths = lambda df, c: F.broadcast(df.agg(F.collect_set(F.length(c)).alias("lengths")))
+    # titles in a name
+    held = names.crossJoin(lengths(known, "title")).select("seed", F.explode(_parts("name", "lengths")).alias("title")).join(of_title, "title")
+    # names in a title; each part with its first title
+    parts = known.crossJoin(lengths(names, "name")).select("ord", "cik", F.explode(_parts("title", "lengths")).alias("name"))
+    holding = names.join(first(parts, "name"), "name")
+    # an empty title is in all names, an empty name in all titles: a row each
+    any_name = names.crossJoin(F.broadcast(of_title.filter("title = ''")))
+    any_title = names.filter("name = ''").crossJoin(F.broadcast(known.agg(F.count("*").alias("n"), F.min("ord").alias("ord"), F.min_by("cik", "ord").alias("cik")).filter("n > 0")))
+    columns = ["seed", "ord", "cik"]
+    found = held.select(*columns).union(holding.select(*columns)).union(any_name.select(*columns)).union(any_title.select(*columns))
+    return found.groupBy("seed").agg(F.min_by("cik", "ord").alias("cik"))
 
 
 def recent_filings(landed: DataFrame, forms: list[str] | None = None, limit: int = 20) -> DataFrame:
