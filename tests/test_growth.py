@@ -1,7 +1,10 @@
 """Steps whose work has to grow with the input, not with its square."""
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
+from corpweave.operators import similarity
 from corpweave.sources import filings
 
 
@@ -24,3 +27,14 @@ def test_matched_cik_compares_no_pairs(spark):
     pairs = [x for x in plan(df).split("\n") if "NestedLoop" in x and "contains" in x.lower()]
     assert not pairs
     assert filings.matched_cik(spark.createDataFrame([("",)], "seed string"), df.select(F.lit(1).alias("ord"), "cik", F.col("seed").alias("title")).limit(0)).count() == 0
+
+
+def test_similar_pairs_keep_a_row_a_name(spark, monkeypatch):
+    kept, write = [], similarity.written
+    monkeypatch.setattr(similarity, "written", lambda df, label: kept.append(write(df, label)) or kept[-1])
+    monkeypatch.setattr(similarity, "CHUNK", 16, raising=False)
+    names = [f"THE HOUSE OF {i * 7919 % 4096:03X} INC" for i in range(120)] + ["A" * 70, "A" * 71 + "B", "Ä" * 9, "Ä" * 8, "A", "B"]
+    df = spark.createDataFrame([(-i, n) for i, n in enumerate(names)], "ord long, name string")
+    want = {(b, a) for a, b in combinations(names, 2) if similarity.ratio(b, a) >= 0.97}
+    assert {(r.name_a, r.name_b) for r in similarity.similar_pairs(df, 0.97).collect()} == want
+    assert max(x.count() for x in kept) <= len(names) + len(want)
