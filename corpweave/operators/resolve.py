@@ -29,8 +29,13 @@ def named(mentions: DataFrame) -> DataFrame:
 def spellings(mentions: DataFrame) -> DataFrame:
     """Distinct raw mentions with their normalized name and the place of their first
     row, in the order of record, offsets and lower-cased text."""
-    place = F.struct("source_id", F.expr("try_cast(start_char as int)").alias("a"), F.expr("try_cast(end_char as int)").alias("b"), F.lower(F.trim("raw_mention")).alias("low"), "raw_mention")
-    return named(mentions).groupBy("raw_mention", "normalized_name").agg(F.min(place).alias("ord")).filter("normalized_name <> ''")
+    df = schemas.ensure(schemas.require(mentions, ["source_id", "raw_mention"]), {c: None for c in schemas.RESOLVED[:10]})
+    # each spelling is normalised once, not each of its rows
+    at = F.struct("source_id", F.expr("try_cast(start_char as int)").alias("a"), F.expr("try_cast(end_char as int)").alias("b"))
+    first = df.groupBy("raw_mention").agg(F.min(at).alias("at")).withColumn("raw_mention", normalize_whitespace(F.col("raw_mention")))
+    first = first.groupBy("raw_mention").agg(F.min("at").alias("at")).withColumn("normalized_name", company_name(F.col("raw_mention")))
+    place = F.struct("at.source_id", "at.a", "at.b", F.lower(F.trim("raw_mention")).alias("low"), "raw_mention")
+    return first.select("raw_mention", "normalized_name", place.alias("ord")).filter("normalized_name <> ''")
 
 
 def distinct_names(mentions: DataFrame) -> DataFrame:
