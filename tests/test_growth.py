@@ -4,7 +4,8 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from corpweave.operators import similarity
+from corpweave.functions import text
+from corpweave.operators import resolve, similarity
 from corpweave.sources import filings
 
 
@@ -38,3 +39,13 @@ def test_similar_pairs_keep_a_row_a_name(spark, monkeypatch):
     want = {(b, a) for a, b in combinations(names, 2) if similarity.ratio(b, a) >= 0.97}
     assert {(r.name_a, r.name_b) for r in similarity.similar_pairs(df, 0.97).collect()} == want
     assert max(x.count() for x in kept) <= len(names) + len(want)
+
+
+def test_texts_are_cut_and_normalised_once(spark):
+    assert str(text.sentences(F.col("x"))).count("split(") == 1
+    assert str(text.joined_text(F.col("x"), F.col("y"), F.col("z"))).count("regexp_replace(") == 3
+
+
+def test_spellings_are_normalised_once_each(spark):
+    df = spark.createDataFrame([(2, "A & B", 0, 1), (1, "A & B", 0, 1)], "source_id int, raw_mention string, start_char int, end_char int")
+    assert [(r.normalized_name, r.ord["source_id"]) for r in resolve.spellings(df).collect()] == [("A AND B", 1)]
